@@ -178,7 +178,7 @@ def _campaign_history(spark: SparkSession, folder: str) -> DataFrame:
     raw = SampleTables(spark, folder)
     key, stamp = "campaign_id", "updated_at"
     now = stage(raw.campaigns, "campaigns")
-    history = stage(snapshot.first_snapshot(raw.campaigns_at(F.lit(FIRST_SNAPSHOT)), key, stamp), "history")
+    history = stage(snapshot.first_snapshot(raw.campaigns_at(FIRST_SNAPSHOT), key, stamp), "history")
     for _ in range(2):
         history = stage(snapshot.next_snapshot(history, now, key, stamp), "history")
     return history
@@ -331,7 +331,9 @@ def _checks(*kinds: str) -> Query:
 QUERIES: dict[str, Query] = {
     **{name: _model(name) for name in STAGING},
     **{name: _model(name) for name in MARTS},
-    "stock_running_balance": _over(lambda m: inventory.running_balance(m.fact_stock_movements)),
+    "stock_running_balance": _over(
+        lambda m: inventory.running_balance(m.store("fact_stock_movements").fact_stock_movements)
+    ),
     "stock_levels_agg_form": _over(lambda m: inventory.stock_totals(m.stg_stock_movements)),
     "sales_velocity": _model("sales_velocity"),
     "salary_distribution": _over(lambda m: hr.salary_distribution(m.dim_employees)),

@@ -21,12 +21,18 @@ def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash rows over the session's shuffle partitions, before work that multiplies them."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import add_weeks, hash_bucket, stable_hash, week_start, weeks_crossed
 from tidemark.operators.joins import choose_by_hash, interval_join, with_every
 from tidemark.operators.ordered import running_sum
+from tidemark.session import spread
 
 # Cost per click in cents and clicks per thousand impressions by channel.
 COST_PER_CLICK = {
@@ -100,11 +101,13 @@ def eligible_campaigns(orders: DataFrame, campaigns: DataFrame, as_of: Column) -
 def order_attribution(orders: DataFrame, campaigns: DataFrame, as_of: Column) -> DataFrame:
     """Credit 65 % of the orders, chosen by hash, to one eligible campaign each.
 
-    Orders are sampled before the interval join. The campaign with the lowest
-    hash is kept by a partial minimum in the task that joins, so one row per order
-    is shuffled, not one per pair.
+    Orders are spread by id first, and sampled before the interval join. While the
+    campaigns are small enough to broadcast, joining and choosing then need no
+    other shuffle; else a partial minimum keeps one row per order in each task.
     """
-    sampled = orders.where(hash_bucket(100, F.col("order_id")) < ATTRIBUTED_PERCENT)
+    sampled = spread(orders.select("order_id", "order_date"), "order_id").where(
+        hash_bucket(100, F.col("order_id")) < ATTRIBUTED_PERCENT
+    )
     pairs = eligible_campaigns(sampled, campaigns, as_of)
     # Hash, then id, as one exact number: a plain minimum that a hash aggregate keeps in place.
     place = stable_hash(F.col("order_id"), F.col("campaign_id")).cast("decimal(10,0)") * F.lit(
@@ -126,8 +129,11 @@ def _ledger_rows(df: DataFrame, movement_id: Column, day: Column, kind: Column,
 
 
 def restock_grid(products: DataFrame, warehouses: DataFrame) -> DataFrame:
-    """Every product, warehouse and restock cycle, generated inside each product row."""
-    return with_every(products.select("product_id"), warehouses, "warehouse_id").withColumn(
+    """Every product, warehouse and restock cycle, generated inside each product row.
+
+    The narrow product rows are spread first, because each one multiplies.
+    """
+    return with_every(spread(products.select("product_id"), "product_id"), warehouses, "warehouse_id").withColumn(
         "_cycle", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(RESTOCK_CYCLES - 1).cast("long")))
     )
 

@@ -26,19 +26,19 @@ def conform(df: DataFrame, table: str, load_time: datetime | None = None) -> Dat
     A column the rows leave out takes its default, or NULL when it has none.
     A column that is present keeps its NULLs: defaults never replace them.
     """
-    defaults = DEFAULTS.get(table, {})
-    columns = []
-    for field in RAW[table].fields:
-        if field.name in df.columns:
-            value = F.col(field.name)
-        else:
-            default = defaults.get(field.name)
-            if default == "now":
-                value = F.lit(load_time) if load_time is not None else F.localtimestamp()
-            else:
-                value = F.lit(default)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+    now = f"timestamp_ntz '{load_time}'" if load_time is not None else "localtimestamp()"
+    texts = {True: "true", False: "false", "now": now, None: "null"}
+    present, defaults = set(df.columns), DEFAULTS.get(table, {})
+
+    def value(name: str) -> str:
+        if name in present:
+            return f"`{name}`"
+        default = defaults.get(name)
+        return texts[default] if default in texts else f"'{default}'"
+
+    return df.selectExpr(
+        *[f"cast({value(f.name)} as {f.dataType.simpleString()}) as `{f.name}`" for f in RAW[table].fields]
+    )
 
 
 def append(df: DataFrame, table: str, path: str, load_time: datetime | None = None) -> None:

@@ -8,19 +8,19 @@ as gift-box products without sales, so the outer joins have something to miss.
 from __future__ import annotations
 
 from datetime import date
-from functools import cached_property
+from functools import cache, cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import quarter_start
 from tidemark.sources import generators
 from tidemark.sources.ingest import conform
+from tidemark.sources.schemas import GIVEN
 
 AS_OF = date(2001, 8, 1)
 FIRST_RESTOCK = date(1995, 1, 2)
 
-# Fixed values of the mapping, by order priority: channel, payment method, status of an open order.
+# Fixed values of the mapping, by order priority: number, channel, payment method, status of an open order.
 PRIORITIES = {
     "1-URGENT": (1, "google_ads", "Credit_Card", "Processing"),
     "2-HIGH": (2, "Facebook_Ads", "PayPal", "Processing"),
@@ -30,176 +30,132 @@ PRIORITIES = {
 }
 
 
-def _by_priority(position: int) -> Column:
-    result = F.lit(None)
-    for priority, values in PRIORITIES.items():
-        result = F.when(F.col("o_orderpriority") == priority, F.lit(values[position])).otherwise(result)
-    return result
+def _by_priority(position: int) -> str:
+    arms = " ".join(f"when '{name}' then {values[position]!r}" for name, values in PRIORITIES.items())
+    return f"case o_orderpriority {arms} end"
 
 
-def _day_after(start: str, days: Column) -> Column:
-    return F.date_add(F.lit(start).cast("date"), days.cast("int"))
+def _day_after(start: str, days: str) -> str:
+    return f"date_add(date '{start}', cast({days} as int))"
 
 
-def _cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("long")
-
-
-def _hundredth(whole: Column) -> Column:
-    return whole.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(3,2)")
+def _hundredth(whole: str) -> str:
+    return f"cast({whole} as decimal(12,0)) * 0.01"
 
 
 class SampleTables:
     """The eleven raw tables, each built on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str, as_of: date = AS_OF):
-        self.spark, self.folder = spark, folder
-        self.as_of = F.lit(as_of)
+    def __init__(self, spark: SparkSession, folder: str, today: date = AS_OF):
+        self.spark, self.folder, self.today = spark, folder, today
+        self.as_of = F.lit(today)
+        self.given = cache(self._given)
+
+    def _given(self, name: str) -> DataFrame:
+        return self.spark.read.schema(GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+    @cached_property
+    def _places(self) -> DataFrame:
+        """Nations with their region: 25 and 5 rows by the definition of those tables."""
+        return self.given("nation").join(self.given("region"), F.expr("n_regionkey = r_regionkey"))
 
-    def _placed(self, df: DataFrame, nation_key: str) -> DataFrame:
-        """Add nation and region: 25 and 5 rows by the definition of those tables."""
-        places = self.given("nation").join(self.given("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return df.join(places, F.col(nation_key) == F.col("n_nationkey"))
+    @cached_property
+    def _suppliers(self) -> DataFrame:
+        return self.given("supplier").join(self._places, F.expr("s_nationkey = n_nationkey"))
 
     @cached_property
     def customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        buyers = self._placed(self.given("customer"), "c_nationkey").select(
-            key.alias("customer_id"),
-            F.lit("Customer").alias("first_name"),
-            F.substring("c_name", 10, 20).alias("last_name"),
-            F.concat(F.upper("c_name"), F.lit("@EXAMPLE.COM")).alias("email"),
-            F.lit(None).cast("string").alias("phone"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            _day_after("1990-01-01", key % 1500).alias("registration_date"),
-            _day_after("1950-01-01", key * 37 % 18000).alias("date_of_birth"),
-            F.lower("c_mktsegment").alias("customer_segment"),
-            F.col("c_acctbal").cast("decimal(10,2)").alias("credit_limit"),
-            (key % 10 != 0).alias("is_active"),
-        )
-        suppliers = self._placed(self.given("supplier"), "s_nationkey").select(
-            (-1 - F.col("s_suppkey")).alias("customer_id"),
-            F.lit("Supplier").alias("first_name"),
-            F.substring("s_name", 10, 20).alias("last_name"),
-            F.concat(F.upper("s_name"), F.lit("@EXAMPLE.COM")).alias("email"),
-            F.lit(None).cast("string").alias("phone"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            _day_after("1990-01-01", F.col("s_suppkey") % 1500).alias("registration_date"),
-            F.lit(None).cast("date").alias("date_of_birth"),
-            F.lit("supplier").alias("customer_segment"),
-            F.col("s_acctbal").cast("decimal(10,2)").alias("credit_limit"),
-            F.lit(True).alias("is_active"),
+        buyers = self.given("customer").join(self._places, F.expr("c_nationkey = n_nationkey")).selectExpr(
+            "c_custkey as customer_id", "'Customer' as first_name", "substring(c_name, 10, 20) as last_name",
+            "concat(upper(c_name), '@EXAMPLE.COM') as email", "n_name as city", "r_name as state",
+            f"{_day_after('1990-01-01', 'c_custkey % 1500')} as registration_date",
+            f"{_day_after('1950-01-01', 'c_custkey * 37 % 18000')} as date_of_birth",
+            "lower(c_mktsegment) as customer_segment", "cast(c_acctbal as decimal(10,2)) as credit_limit",
+            "c_custkey % 10 <> 0 as is_active", "cast(null as string) as phone",
+        )
+        suppliers = self._suppliers.selectExpr(
+            "-1 - s_suppkey as customer_id", "'Supplier' as first_name", "substring(s_name, 10, 20) as last_name",
+            "concat(upper(s_name), '@EXAMPLE.COM') as email", "n_name as city", "r_name as state",
+            f"{_day_after('1990-01-01', 's_suppkey % 1500')} as registration_date",
+            "cast(null as date) as date_of_birth",
+            "'supplier' as customer_segment", "cast(s_acctbal as decimal(10,2)) as credit_limit",
+            "true as is_active", "cast(null as string) as phone",
         )
         return conform(buyers.unionByName(suppliers), "customers")
 
     @cached_property
     def employees(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        head = key % 10 == 0
         return conform(
-            self._placed(self.given("supplier"), "s_nationkey").select(
-                key.alias("employee_id"),
-                F.lit("Agent").alias("first_name"),
-                F.substring("s_name", 10, 20).alias("last_name"),
-                F.concat(F.upper("s_name"), F.lit("@STAFF.EXAMPLE.COM")).alias("email"),
-                F.when(key % 17 == 0, 99).otherwise(F.col("r_regionkey") + 1).alias("department_id"),
-                F.when(head, "Team Lead").otherwise("Account Agent").alias("job_title"),
-                (60000 + (F.col("s_acctbal").cast("decimal(12,2)") + 1000) * 11).alias("salary"),
-                _day_after("1985-01-01", key * 97 % 5000).alias("hire_date"),
-                F.when(~head, key - key % 10).alias("manager_id"),
-                F.when(key % 13 == 0, "Terminated").otherwise("Active").alias("employment_status"),
-                F.col("n_name").alias("city"),
-                F.col("r_name").alias("state"),
+            self._suppliers.selectExpr(
+                "s_suppkey as employee_id", "'Agent' as first_name", "substring(s_name, 10, 20) as last_name",
+                "concat(upper(s_name), '@STAFF.EXAMPLE.COM') as email", "cast(null as string) as phone",
+                "if(s_suppkey % 17 = 0, 99, r_regionkey + 1) as department_id",
+                "if(s_suppkey % 10 = 0, 'Team Lead', 'Account Agent') as job_title",
+                "60000 + (cast(s_acctbal as decimal(12,2)) + 1000) * 11 as salary",
+                f"{_day_after('1985-01-01', 's_suppkey * 97 % 5000')} as hire_date",
+                "if(s_suppkey % 10 = 0, null, s_suppkey - s_suppkey % 10) as manager_id",
+                "if(s_suppkey % 13 = 0, 'Terminated', 'Active') as employment_status",
+                "n_name as city", "r_name as state",
             ),
             "employees",
         )
 
     @cached_property
     def departments(self) -> DataFrame:
+        by_region = self._suppliers.groupBy("r_regionkey", "r_name").agg(
+            F.expr("max(n_name) as location"),
+            F.expr("min(s_suppkey) as manager_id"),
+            F.expr("max(cast(s_acctbal as decimal(10,2))) * 100 as budget"),
+        )
         return conform(
-            self._placed(self.given("supplier"), "s_nationkey")
-            .groupBy("r_regionkey", "r_name")
-            .agg(
-                F.max("n_name").alias("location"),
-                F.min("s_suppkey").alias("manager_id"),
-                (F.max(F.col("s_acctbal").cast("decimal(10,2)")) * 100).alias("budget"),
-            )
-            .withColumn("department_id", F.col("r_regionkey") + 1)
-            .withColumnRenamed("r_name", "department_name"),
-            "departments",
+            by_region.selectExpr("r_regionkey + 1 as department_id", "r_name as department_name", "*"), "departments"
         )
 
     @cached_property
     def warehouses(self) -> DataFrame:
+        by_region = self._suppliers.groupBy("r_regionkey", "r_name").agg(
+            F.expr("min(n_name) as city"), F.expr("sum(cast(s_acctbal as decimal(10,2))) > 0 as is_active")
+        )
         return conform(
-            self._placed(self.given("supplier"), "s_nationkey")
-            .groupBy("r_regionkey", "r_name")
-            .agg(
-                F.min("n_name").alias("city"),
-                (F.sum(F.col("s_acctbal").cast("decimal(10,2)")) > 0).alias("is_active"),
-            )
-            .select(
-                (F.col("r_regionkey") + 6001).alias("warehouse_id"),
-                F.concat("r_name", F.lit(" DC")).alias("warehouse_name"),
-                "city", F.col("r_name").alias("state"), "is_active",
+            by_region.selectExpr(
+                "r_regionkey + 6001 as warehouse_id", "concat(r_name, ' DC') as warehouse_name", "city",
+                "r_name as state", "is_active",
             ),
             "warehouses",
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        part = self.given("part")
-        single = part.select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_size").alias("category_id"),
-            F.col("p_type").alias("category_name"),
-            F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
-            (F.col("p_size") * 7 % 50).alias("units_in_stock"),
-            F.col("p_brand").alias("supplier"),
-            (F.col("p_size") % 10 != 0).alias("is_active"),
+        single = self.given("part").selectExpr(
+            "p_partkey as product_id", "p_name as product_name", "p_size as category_id", "p_type as category_name",
+            "cast(p_retailprice as decimal(10,2)) as unit_price", "cast(p_size * 7 % 50 as long) as units_in_stock",
+            "p_brand as supplier", "p_size % 10 <> 0 as is_active",
         )
-        boxes = (
-            part.groupBy("p_brand")
-            .agg(F.min("p_retailprice").cast("decimal(10,2)").alias("unit_price"), F.count(F.lit(1)).alias("_n"))
-            .select(
-                (-F.substring("p_brand", 7, 10).cast("long")).alias("product_id"),
-                F.concat("p_brand", F.lit(" gift box")).alias("product_name"),
-                F.lit(None).cast("int").alias("category_id"),
-                F.lit("GIFT").alias("category_name"),
-                "unit_price",
-                (F.col("_n") % 50).alias("units_in_stock"),
-                F.col("p_brand").alias("supplier"),
-                F.lit(True).alias("is_active"),
-            )
+        brands = self.given("part").groupBy("p_brand").agg(
+            F.expr("cast(min(p_retailprice) as decimal(10,2)) as unit_price"), F.expr("count(*) as parts")
+        )
+        boxes = brands.selectExpr(
+            "-cast(substring(p_brand, 7, 10) as long) as product_id", "concat(p_brand, ' gift box') as product_name",
+            "cast(null as int) as category_id", "'GIFT' as category_name", "unit_price",
+            "parts % 50 as units_in_stock", "p_brand as supplier", "true as is_active",
         )
         return conform(single.unionByName(boxes), "products")
 
     @cached_property
     def orders(self) -> DataFrame:
         staff = self.given("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "Delivered")
-            .when(F.col("o_orderstatus") == "O", _by_priority(3))
-            .otherwise("Pending")
-        )
         return conform(
-            self.given("orders").select(
-                F.col("o_orderkey").alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
+            self.given("orders").withColumn("_staff", staff).selectExpr(
+                "o_orderkey as order_id", "o_custkey as customer_id",
                 # Half of these numbers belong to no employee.
-                (F.col("o_orderkey") % (staff * 2)).alias("employee_id"),
-                F.col("o_orderdate").cast("date").alias("order_date"),
-                status.alias("status"),
+                "o_orderkey % (2 * _staff) as employee_id",
+                "cast(o_orderdate as date) as order_date",
+                f"case o_orderstatus when 'F' then 'Delivered' when 'O' then {_by_priority(3)} else 'Pending' end "
+                "as status",
                 # Scaled so that lifetime values straddle the class limits.
-                _hundredth(F.expr("cast(round(o_totalprice * 100) as bigint) div 500")).alias("total_amount"),
-                F.concat(F.lit("NATION_"), (F.col("o_custkey") % 25).cast("string")).alias("shipping_address_city"),
-                _by_priority(2).alias("payment_method"),
+                f"{_hundredth('cast(round(o_totalprice * 100) as long) div 500')} as total_amount",
+                "concat('NATION_', o_custkey % 25) as shipping_address_city",
+                f"{_by_priority(2)} as payment_method",
             ),
             "orders",
         )
@@ -210,29 +166,25 @@ class SampleTables:
 
         The given line numbers repeat within an order. Rows are numbered within
         order and part (modulo 1000), so that even an order with a third of all
-        lines is spread over a thousand window groups.
+        lines is spread over a thousand window groups. Rows that tie are equal in
+        every column used, so their order does not matter.
         """
-        slot = F.col("l_partkey") % 1000
-        used = ["l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
-        place = F.row_number().over(Window.partitionBy("l_orderkey", "_slot").orderBy(*used))
-        cents = F.expr("(cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)) div 500")
-        discount = F.when(F.col("l_linenumber") != 7, F.round(F.col("l_discount") * 100))
+        cents = "cast(round(l_extendedprice * 100) as long) div cast(l_quantity as long) div 500"
+        numbered = self.given("lineitem").selectExpr(
+            "*",
+            "row_number() over (partition by l_orderkey, l_partkey % 1000 order by "
+            "l_partkey, l_quantity, l_extendedprice, l_discount, l_linenumber) as _place",
+        )
         return conform(
-            self.given("lineitem")
-            .withColumn("_slot", slot)
-            .withColumn("_place", place)
-            .select(
-                ((F.col("l_orderkey") * 1000 + F.col("_slot")) * 1000 + F.col("_place")).alias("order_item_id"),
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_quantity").cast("long").alias("quantity"),
-                _hundredth(cents).alias("unit_price"),
-                discount.alias("discount_pct"),
+            numbered.selectExpr(
+                "(l_orderkey * 1000 + l_partkey % 1000) * 1000 + _place as order_item_id", "l_orderkey as order_id",
+                "l_partkey as product_id", "cast(l_quantity as long) as quantity", f"{_hundredth(cents)} as unit_price",
+                "if(l_linenumber = 7, null, round(l_discount * 100)) as discount_pct",
             ),
             "order_items",
         )
 
-    def campaigns_at(self, day: Column) -> DataFrame:
+    def campaigns_at(self, day: date) -> DataFrame:
         """Campaigns as known on ``day``, from the orders placed until then.
 
         One campaign per channel and quarter with orders, one affiliate campaign
@@ -240,65 +192,48 @@ class SampleTables:
         are scanned and summed once, per channel and quarter. The number of
         campaigns is bounded by the calendar.
         """
-        orders = self.given("orders").select(
-            "o_orderpriority", F.col("o_orderdate").cast("date").alias("_day"), _cents("o_totalprice").alias("_cents")
-        )
+        today = f"date '{day}'"
         quarters = (
-            orders.where(F.col("_day") <= day)
-            .withColumn("_start", quarter_start(F.col("_day")))
-            .groupBy("o_orderpriority", "_start")
-            .agg(F.sum("_cents").alias("_cents"), F.max("_day").alias("_seen"))
-        )
-        number = _by_priority(0).cast("long")
-        channel = _by_priority(1)
-        year = F.year("_start").cast("long")
-        this_quarter = quarter_start(day)
-        next_quarter = F.add_months(this_quarter, 3)
-        quarter_name = F.concat(channel, F.lit(" "), year.cast("string"), F.lit(" Q"), F.quarter("_start").cast("string"))
-
-        def role(campaign_id: Column, name: Column, channel: Column, start: Column, end: Column) -> Column:
-            return F.struct(
-                campaign_id.alias("campaign_id"), name.alias("campaign_name"), channel.alias("channel"),
-                start.alias("start_date"), end.alias("end_date"),
+            self.given("orders")
+            .selectExpr(
+                "o_orderpriority", "cast(o_orderdate as date) as day",
+                "cast(round(o_totalprice * 100) as long) as cents", "trunc(o_orderdate, 'QUARTER') as start",
             )
-
-        roles = F.array(
-            role(
-                5000 + (year - 1990) * 100 + F.quarter("_start") * 10 + number, quarter_name, channel,
-                F.col("_start"), F.date_sub(F.add_months("_start", 3), 1),
-            ),
-            role(
-                5000 + (year - 1990) * 100 + 6, F.concat(F.lit("affiliate "), year.cast("string")),
-                F.lit("affiliate"), F.trunc("_start", "YEAR"), F.date_sub(F.add_months(F.trunc("_start", "YEAR"), 12), 1),
-            ),
-            role(
-                14000 + number, F.concat(channel, F.lit(" next")), channel, next_quarter, F.lit(None).cast("date")
-            ),
-        )
-        total = F.sum("_cents")
-        running = F.col("end_date").isNull() | (F.col("end_date") >= day)
-        status = (
-            F.when(F.col("start_date") > day, "Planned")
-            .when(~running, "Completed")
-            .when(F.col("channel") == "tiktok_ads", "Paused")
-            .otherwise("Active")
+            .where(f"day <= {today}")
+            .groupBy("o_orderpriority", "start")
+            .agg(F.expr("sum(cents) as cents"), F.expr("max(day) as seen"))
+        )
+        number, channel = _by_priority(0), _by_priority(1)
+        code = "5000 + (year(start) - 1990) * 100"
+        roles = f"""explode(array(
+            named_struct('id', {code} + quarter(start) * 10 + {number},
+                'name', concat({channel}, ' ', year(start), ' Q', quarter(start)), 'channel', {channel},
+                'first', start, 'last', date_sub(add_months(start, 3), 1)),
+            named_struct('id', {code} + 6, 'name', concat('affiliate ', year(start)), 'channel', 'affiliate',
+                'first', trunc(start, 'YEAR'), 'last', date_sub(add_months(trunc(start, 'YEAR'), 12), 1)),
+            named_struct('id', 14000 + {number}, 'name', concat({channel}, ' next'), 'channel', {channel},
+                'first', add_months(trunc({today}, 'QUARTER'), 3), 'last', cast(null as date)))) as role"""
+        summed = (
+            quarters.selectExpr(roles, "cents", "seen")
+            .groupBy("role.id", "role.name", "role.channel", "role.first", "role.last")
+            .agg(F.expr("sum(cents) as cents"), F.expr("max(seen) as seen"))
         )
         return conform(
-            quarters.withColumn("_role", F.explode(roles))
-            .groupBy("_role.campaign_id", "_role.campaign_name", "_role.channel", "_role.start_date", "_role.end_date")
-            .agg(
-                (_hundredth(total % 5000000) + 5000).alias("budget"),
-                F.max("_seen").cast("timestamp_ntz").alias("updated_at"),
-            )
-            .withColumn("status", status)
-            # A running campaign has no end yet.
-            .withColumn("end_date", F.when(~running, F.col("end_date"))),
+            summed.selectExpr(
+                "id as campaign_id", "name as campaign_name", "channel", "first as start_date",
+                # A running campaign has no end yet.
+                f"if(last < {today}, last, null) as end_date",
+                f"5000 + {_hundredth('cents % 5000000')} as budget",
+                f"case when first > {today} then 'Planned' when last < {today} then 'Completed' "
+                "when channel = 'tiktok_ads' then 'Paused' else 'Active' end as status",
+                "cast(seen as timestamp_ntz) as updated_at",
+            ),
             "campaigns",
         )
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        return self.campaigns_at(self.as_of)
+        return self.campaigns_at(self.today)
 
     @cached_property
     def ad_spend(self) -> DataFrame:

@@ -68,6 +68,19 @@ RAW: dict[str, T.StructType] = {
     ),
 }
 
+# Columns of the given tables that the sample mapping reads.
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double",
+}
+
 # The default of a column that the incoming rows leave out.
 # ``now`` stands for the load time.
 DEFAULTS: dict[str, dict[str, object]] = {
