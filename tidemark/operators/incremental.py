@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import new_folder
+from tidemark.session import stage
 
 # Fixed value: the watermark of an empty target.
 EPOCH = "1900-01-01 00:00:00"
@@ -91,20 +91,17 @@ class KeyedTable:
     def upsert(self, updates: DataFrame, stamp: str = "loaded_at") -> None:
         """Insert new keys and replace the rows of known ones.
 
-        The touched partitions are first written to a staging folder, then
-        replaced from there: the table is never read while it is overwritten, and
-        a failed replacement can be repeated.
+        Only the touched partitions are read and written. Spark keeps the new files
+        of a dynamic overwrite aside until all tasks are done, so the old ones can
+        still be read, and read again after the loss of an executor.
         """
         if not self.exists():
             self.refresh(updates)
             return
-        staged = new_folder(self.spark, "upsert")
-        self._keyed(latest_per_key(updates, self.key, stamp)).write.parquet(f"{staged}/updates")
-        updates = self._stored(f"{staged}/updates")
+        updates = stage(self._keyed(latest_per_key(updates, self.key, stamp)), "updates")
         # At most one number per partition of the table, which the driver lists anyway.
         touched = [row["_part"] for row in updates.select("_part").distinct().collect()]
         if not touched:
             return
         old = self._stored(self.path).where(F.col("_part").isin(touched))
-        merge(old, updates, self.key).write.parquet(f"{staged}/merged")
-        self._overwrite(self._stored(f"{staged}/merged"), "dynamic")
+        self._overwrite(merge(old, updates, self.key), "dynamic")

@@ -7,6 +7,8 @@ projection that Catalyst folds into the scan of its consumer.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,15 +110,14 @@ def order_attribution(raw: DataFrame, loaded: bool = False) -> DataFrame:
 
 
 def order_items(raw: DataFrame, loaded: bool = False) -> DataFrame:
-    discount = F.coalesce(F.col("discount_pct"), F.lit(0).cast("decimal(5,2)"))
-    gross = F.col("quantity").cast("decimal(18,0)") * F.col("unit_price")
-    # Percent to fraction by an exact factor, so the net amount has no rounding.
-    kept = F.lit(1) - discount * F.lit("0.01").cast("decimal(3,2)")
+    # Exact throughout, in types that need no rounding or narrowing per row.
+    discount = F.expr("coalesce(discount_pct, cast(0 as decimal(5,2)))")
+    gross = F.col("quantity").cast("decimal(12,0)") * F.col("unit_price")
     return _stamped(
         raw.select(
             "order_item_id", "order_id", "product_id", "quantity", "unit_price", discount.alias("discount_pct"),
-            gross.cast("decimal(22,2)").alias("gross_amount"),
-            (gross.cast("decimal(22,2)") * kept).cast("decimal(28,6)").alias("net_amount"),
+            gross.alias("gross_amount"),
+            (gross * (F.lit(1) - discount * F.lit(Decimal("0.01")))).alias("net_amount"),
         ),
         loaded,
     )

@@ -21,6 +21,7 @@ def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
