@@ -95,9 +95,10 @@ def test_interval_join_equals_nested_loop(spark):
     assert rows(got, "id", "span") == want
 
 
-@pytest.mark.parametrize("limit", [1000, 4])
-def test_choose_by_hash_with_short_and_long_lists(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit, unroll", [(1000, 20), (1000, 1), (4, 1)])
+def test_choose_by_hash_with_short_and_long_lists(spark, monkeypatch, limit, unroll):
     monkeypatch.setattr(joins, "ARRAY_LIMIT", limit)
+    monkeypatch.setattr(joins, "UNROLL_LIMIT", unroll)
     import hashlib
 
     def h(*parts):
@@ -181,8 +182,8 @@ def test_latest_per_key(spark):
 
 def test_sized_table_covers_the_keys(spark):
     df = spark.createDataFrame([(i, "a", stamp(1)) for i in range(100)], SCHEMA)
-    assert KeyedTable.sized("p", df, "id", 30).key_range == 25
-    assert KeyedTable.sized("p", df.where("id < 0"), "id", 30).key_range == 1
+    assert KeyedTable.sized("p", df, df.schema, "id", 30).key_range == 25
+    assert KeyedTable.sized("p", df.where("id < 0"), df.schema, "id", 30).key_range == 1
 
 
 # History

@@ -54,12 +54,14 @@ class KeyedTable:
     key_range: int
 
     @staticmethod
-    def sized(path: str, rows: DataFrame, key: str, rows_per_partition: int = 20_000_000) -> KeyedTable:
-        """A table whose partitions hold about ``rows_per_partition`` of rows like these."""
-        span = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(key).alias("n")).first()
+    def sized(
+        path: str, keys: DataFrame, schema: T.StructType, key: str, rows_per_partition: int = 20_000_000
+    ) -> KeyedTable:
+        """A table whose partitions hold about ``rows_per_partition`` of keys like these."""
+        span = keys.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(key).alias("n")).first()
         partitions = max(1, -(-span["n"] // rows_per_partition))
         key_range = max(1, -(-((span["hi"] or 0) - (span["lo"] or 0) + 1) // partitions))
-        return KeyedTable(rows.sparkSession, path, rows.schema, key, key_range)
+        return KeyedTable(keys.sparkSession, path, schema, key, key_range)
 
     def _keyed(self, df: DataFrame) -> DataFrame:
         return df.withColumn("_part", F.expr(f"{self.key} div {self.key_range}L"))

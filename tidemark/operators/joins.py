@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import month_start, stable_hash
 
 # A list no longer than this may travel to every task as one array.
 ARRAY_LIMIT = 1000
+# Up to this length the choice is written out in the projection, where it is compiled.
+UNROLL_LIMIT = 16
 
 
 def interval_join(points: DataFrame, at: str, intervals: DataFrame, start: str, end: str) -> DataFrame:
@@ -31,46 +33,51 @@ def interval_join(points: DataFrame, at: str, intervals: DataFrame, start: str,
     )
 
 
-def _candidate_arrays(candidates: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Arrays ``_ids`` of distinct candidates, and how many (``_piece`` 0, 1, ...).
+def _short_list(candidates: DataFrame, name: str) -> list[int] | None:
+    """The distinct candidates in order, or None when there are more than ARRAY_LIMIT."""
+    ids = candidates.select(F.col(name).cast("long").alias(name)).distinct().limit(ARRAY_LIMIT + 1).collect()
+    return sorted(row[0] for row in ids) if len(ids) <= ARRAY_LIMIT else None
 
-    The list is counted first: up to ARRAY_LIMIT ids make one array, a longer one
-    is cut into pieces of about half that size.
-    """
+
+def _meet_pieces(rows: DataFrame, candidates: DataFrame, name: str) -> DataFrame:
+    """Each row beside each piece ``_ids`` of a long candidate list, of about ARRAY_LIMIT / 2 ids."""
     ids = candidates.select(F.col(name).cast("long").alias(name)).distinct()
-    total = ids.count()
-    pieces = 1 if total <= ARRAY_LIMIT else -(-2 * total // ARRAY_LIMIT)
+    pieces = -(-2 * ids.count() // ARRAY_LIMIT)
     piece = F.pmod(F.xxhash64(name), F.lit(pieces)).cast("int")
-    arrays = ids.groupBy(piece.alias("_piece")).agg(F.array_sort(F.collect_list(name)).alias("_ids"))
-    return arrays, pieces
-
-
-def _meet_arrays(rows: DataFrame, arrays: DataFrame, pieces: int) -> DataFrame:
-    """Each row beside each candidate array: a projection when there is only one."""
-    if pieces == 1:
-        return rows.withColumn("_ids", arrays.select("_ids").scalar())
+    arrays = ids.groupBy(piece.alias("_piece")).agg(F.collect_list(name).alias("_ids"))
     numbered = rows.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
     return numbered.join(arrays, "_piece").drop("_piece")
 
 
 def with_every(rows: DataFrame, candidates: DataFrame, name: str) -> DataFrame:
-    """Each row once per candidate, for a short list of candidates, without a join."""
-    arrays, pieces = _candidate_arrays(candidates, name)
-    return _meet_arrays(rows, arrays, pieces).withColumn(name, F.explode("_ids")).drop("_ids")
+    """Each row once per candidate, without a cross join.
+
+    A short list is a literal in the projection; a long one arrives in pieces.
+    """
+    short = _short_list(candidates, name)
+    if short is not None:
+        return rows.withColumn(name, F.explode(F.lit(short).cast("array<bigint>")))
+    return _meet_pieces(rows, candidates, name).withColumn(name, F.explode("_ids")).drop("_ids")
 
 
 def choose_by_hash(rows: DataFrame, key: str, candidates: DataFrame, name: str) -> DataFrame:
     """Add the candidate ``name`` whose hash with the row's unique ``key`` is lowest.
 
-    Ties go to the smaller candidate. A short list travels as one array, so the
-    choice is a projection of each row: no join, no shuffle, no row per pair. With
-    a longer list each row meets every array and keeps the best of the winners.
+    Ties go to the smaller candidate. A short list is a literal, so the choice is a
+    projection of each row: no join, no shuffle, no row per pair. With a longer
+    list each row meets every piece of it and keeps the best of the winners.
     """
-    arrays, pieces = _candidate_arrays(candidates, name)
-    best = F.array_min(
-        F.transform("_ids", lambda c: F.struct(stable_hash(F.col(key), c).alias("hash"), c.alias(name)))
-    )
-    met = _meet_arrays(rows, arrays, pieces).withColumn("_best", best).drop("_ids")
-    if pieces > 1:
-        met = met.groupBy(*rows.columns).agg(F.min("_best").alias("_best"))
-    return met.withColumn(name, F.col(f"_best.{name}")).drop("_best")
+
+    def place(candidate: Column) -> Column:
+        return F.struct(stable_hash(F.col(key), candidate).alias("hash"), candidate.alias(name))
+
+    short = _short_list(candidates, name)
+    if short is not None and 2 <= len(short) <= UNROLL_LIMIT:
+        best = F.least(*[place(F.lit(i).cast("long")) for i in short])
+        return rows.withColumn(name, best.getField(name))
+    if short is not None:
+        best = F.array_min(F.transform(F.lit(short).cast("array<bigint>"), place))
+        return rows.withColumn(name, best.getField(name))
+    winners = _meet_pieces(rows, candidates, name).withColumn("_best", F.array_min(F.transform("_ids", place)))
+    best = winners.groupBy(*rows.columns).agg(F.min("_best").alias("_best"))
+    return best.withColumn(name, F.col("_best").getField(name)).drop("_best")

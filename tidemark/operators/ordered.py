@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 
 def magnitude_block(value: Column, per_e_fold: int = 64) -> Column:
     """Order-preserving block number of a double.
@@ -81,10 +83,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probabilities:
     """Linearly interpolated percentiles of a double column per group.
 
     Equal to ``percentile(value, p)``, but no task holds a group's values: the
-    two neighbouring values are found from cumulative counts.
+    two neighbouring values are found from cumulative counts. The counts per
+    distinct value are staged, as three steps read them.
     """
-    counts = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = stage(
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts"
     )
     upto = running_sum(counts, "_n", "_upto", keys, magnitude_block(F.col(value)), [F.col(value).asc()])
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))

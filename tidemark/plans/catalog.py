@@ -94,9 +94,8 @@ def incremental_ad_spend(spark: SparkSession, folder: str) -> DataFrame:
         spend.where(~in_first_month).unionByName(restated),
     ]
     campaigns = staging.campaigns(stage(m.raw.campaigns, "campaigns"), m.as_of)
-    table = KeyedTable.sized(
-        new_folder(spark, "fact-ad-spend"), marketing.fact_ad_spend(staging.ad_spend(spend), campaigns), "ad_spend_id"
-    )
+    schema = marketing.fact_ad_spend(staging.ad_spend(spend), campaigns).schema
+    table = KeyedTable.sized(new_folder(spark, "fact-ad-spend"), spend, schema, "ad_spend_id")
     for source in loads:
         source = staging.ad_spend(source)
         fresh = newer_than(source, table.read()) if table.exists() else source
@@ -123,13 +122,13 @@ def _load_ledger(spark: SparkSession, m: Models) -> tuple[KeyedTable, DataFrame]
     def enrich(movements: DataFrame) -> DataFrame:
         return inventory.fact_stock_movements(movements, m.stg_products, m.stg_warehouses)
 
-    whole = staging.stock_movements(ledger)
-    table = KeyedTable.sized(new_folder(spark, "fact-stock-movements"), enrich(whole), "movement_id")
+    whole = enrich(staging.stock_movements(ledger))
+    table = KeyedTable.sized(new_folder(spark, "fact-stock-movements"), ledger, whole.schema, "movement_id")
     for source in loads:
         source = staging.stock_movements(source)
         fresh = newer_than(source, table.read()) if table.exists() else source
         table.upsert(enrich(fresh))
-    return table, enrich(whole)
+    return table, whole
 
 
 def incremental_stock_movements(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,7 +154,7 @@ def stream_incremental_movements(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     landing, checkpoint = new_folder(spark, "landing"), new_folder(spark, "stream-checkpoint")
-    table = KeyedTable.sized(new_folder(spark, "stream-movements"), enrich(ledger), "movement_id")
+    table = KeyedTable.sized(new_folder(spark, "stream-movements"), ledger, enrich(ledger).schema, "movement_id")
     for rows in rounds:
         append(rows, "stock_movements", landing)
         drain_into(table, landing, RAW["stock_movements"], enrich, checkpoint)

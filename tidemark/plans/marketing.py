@@ -38,18 +38,15 @@ def campaign_performance(
         .groupBy("campaign_id")
         .agg(F.count_distinct("order_id").alias("_orders"), F.sum("revenue").alias("_revenue"))
     )
-    joined = (
-        campaigns.join(spent, "campaign_id", "left")
-        .join(earned, "campaign_id", "left")
-        .withColumn("roas", div0(F.col("_revenue"), F.col("_spend")))
-    )
     # The running sum over all campaigns goes day by day; campaign_id settles equal start dates.
     summed = running_sum(
-        joined, "_spend", "cumulative_spend_by_start_date", [], F.col("start_date"), [F.col("campaign_id")]
+        campaigns.join(spent, "campaign_id", "left"), "_spend", "cumulative_spend_by_start_date", [],
+        F.col("start_date"), [F.col("campaign_id")],
     )
+    joined = summed.join(earned, "campaign_id", "left").withColumn("roas", div0(F.col("_revenue"), F.col("_spend")))
     in_channel = Window.partitionBy("channel").orderBy(F.col("roas").desc_nulls_first())
     zero = F.lit(0)
-    return summed.select(
+    return joined.select(
         "campaign_id", "campaign_name", "channel", "status", "start_date", "end_date", "budget",
         F.coalesce("_impressions", zero).alias("total_impressions"),
         F.coalesce("_clicks", zero).alias("total_clicks"),
