@@ -201,6 +201,18 @@ def test_headcount_and_percentiles_of_active_staff(spark):
     assert by(dist, "department_name", "p25_salary", "median_salary")["Sales"] == (62500.0, 75000.0)
 
 
+def test_percentiles_of_eleven_salaries(spark):
+    # One department of the literal rows.
+    salaries = [185000, 145000, 115000, 112000, 90000, 148000, 135000, 105000, 118000, 165000, 116000]
+    staff = spark.createDataFrame(
+        [("Engineering", "active", Decimal(s)) for s in salaries],
+        "department_name string, employment_status string, salary decimal(12,2)",
+    )
+    row = hr.salary_distribution(staff).first()
+    assert (row.headcount, row.total_payroll) == (11, 1434000)
+    assert (row.p25_salary, row.median_salary, row.p75_salary) == (113500.0, 118000.0, 146500.0)
+
+
 # Marketing
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +45,7 @@ class KeyedTable:
     The partition is a function of the key alone. An upsert therefore finds every
     old version of an updated row in the partitions of the updates and rewrites
     only those; with keys handed out in sequence, that is the tail of the table.
+    The width of the ranges is itself a partition column, so a later run finds it.
     """
 
     spark: SparkSession
@@ -63,15 +64,24 @@ class KeyedTable:
         key_range = max(1, -(-((span["hi"] or 0) - (span["lo"] or 0) + 1) // partitions))
         return KeyedTable(keys.sparkSession, path, schema, key, key_range)
 
+    @staticmethod
+    def stored(spark: SparkSession, path: str, schema: T.StructType, key: str) -> KeyedTable:
+        """A table written before, with the ranges it was written with."""
+        table = KeyedTable(spark, path, schema, key, 1)
+        width = table._stored().select("_range").first()
+        return table if width is None else replace(table, key_range=width["_range"])
+
     def _keyed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_part", F.expr(f"{self.key} div {self.key_range}L"))
+        width = f"{self.key_range}L"
+        return df.selectExpr("*", f"{width} as _range", f"{self.key} div {width} as _part")
 
-    def _stored(self, path: str) -> DataFrame:
-        return self.spark.read.schema(T.StructType(list(self.schema.fields)).add("_part", T.LongType())).parquet(path)
+    def _stored(self) -> DataFrame:
+        fields = [*self.schema.fields, T.StructField("_range", T.LongType()), T.StructField("_part", T.LongType())]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
 
     def exists(self) -> bool:
         try:
-            self._stored(self.path)
+            self._stored()
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return False
@@ -79,12 +89,12 @@ class KeyedTable:
         return True
 
     def read(self) -> DataFrame:
-        return self._stored(self.path).drop("_part")
+        return self._stored().drop("_range", "_part")
 
     def _overwrite(self, df: DataFrame, partitions: str) -> None:
         # Rebalance gathers a partition's rows into few files and splits a large partition over tasks.
         writer = df.hint("rebalance", "_part").write.mode("overwrite")
-        writer.option("partitionOverwriteMode", partitions).partitionBy("_part").parquet(self.path)
+        writer.option("partitionOverwriteMode", partitions).partitionBy("_range", "_part").parquet(self.path)
 
     def refresh(self, rows: DataFrame) -> None:
         """Replace the whole table."""
@@ -105,5 +115,5 @@ class KeyedTable:
         touched = [row["_part"] for row in updates.select("_part").distinct().collect()]
         if not touched:
             return
-        old = self._stored(self.path).where(F.col("_part").isin(touched))
+        old = self._stored().where(F.col("_part").isin(touched))
         self._overwrite(merge(old, updates, self.key), "dynamic")

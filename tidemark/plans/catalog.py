@@ -93,7 +93,7 @@ def incremental_ad_spend(spark: SparkSession, folder: str) -> DataFrame:
         spend.where(F.col("loaded_at") <= F.lit(SPEND_FIRST_LOAD).cast("timestamp_ntz")),
         spend.where(~in_first_month).unionByName(restated),
     ]
-    campaigns = staging.campaigns(stage(m.raw.campaigns, "campaigns"), m.as_of)
+    campaigns = m.stg_campaigns
     schema = marketing.fact_ad_spend(staging.ad_spend(spend), campaigns).schema
     table = KeyedTable.sized(new_folder(spark, "fact-ad-spend"), spend, schema, "ad_spend_id")
     for source in loads:
@@ -176,10 +176,9 @@ def mart_rebuild_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def _campaign_history(spark: SparkSession, folder: str) -> DataFrame:
     raw = SampleTables(spark, folder)
     key, stamp = "campaign_id", "updated_at"
-    now = stage(raw.campaigns, "campaigns")
     history = stage(snapshot.first_snapshot(raw.campaigns_at(FIRST_SNAPSHOT), key, stamp), "history")
     for _ in range(2):
-        history = stage(snapshot.next_snapshot(history, now, key, stamp), "history")
+        history = stage(snapshot.next_snapshot(history, raw.campaigns, key, stamp), "history")
     return history
 
 
@@ -316,7 +315,7 @@ def checked_tables(spark: SparkSession, folder: str, checks: list[quality.Check]
     """The tables the checks name, marts and generated raw tables stored first."""
     m = models(spark, folder)
     names = {c.table for c in checks} | {c.parent for c in checks if c.parent}
-    for table in ("order_items", "campaigns", "ad_spend", "order_attribution", "stock_movements"):
+    for table in ("order_items", "ad_spend", "order_attribution", "stock_movements"):
         setattr(m.raw, table, stage(getattr(m.raw, table), table))
     m.store(*[mart for mart in MARTS if mart in names])
     return {name: getattr(m.raw, name[4:]) if name.startswith("raw.") else getattr(m, name) for name in names}

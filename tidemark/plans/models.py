@@ -145,6 +145,10 @@ class Models:
         the stored table instead of repeating its work.
         """
         for name in names:
-            setattr(self, name, stage(getattr(self, name), name))
-            self._stored.add(name)
+            self.replace(name, stage(getattr(self, name), name))
         return self
+
+    def replace(self, name: str, stored: DataFrame) -> None:
+        """Let later models read ``stored`` in place of the planned model."""
+        setattr(self, name, stored)
+        self._stored.add(name)

@@ -13,6 +13,7 @@ from functools import cache, cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
 from tidemark.sources import generators
 from tidemark.sources.ingest import conform
 from tidemark.sources.schemas import GIVEN
@@ -233,7 +234,8 @@ class SampleTables:
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        return self.campaigns_at(self.today)
+        """Staged: one scan of the orders, whose few rows many models then read."""
+        return stage(self.campaigns_at(self.today), "campaigns")
 
     @cached_property
     def ad_spend(self) -> DataFrame:

@@ -16,9 +16,12 @@ def drain_into(
     schema: T.StructType,
     transform: Callable[[DataFrame], DataFrame],
     checkpoint: str,
+    files_per_batch: int = 10_000,
 ) -> None:
     """Upsert every parquet file that landed since the last call, then stop.
 
+    A long backlog is worked off in batches of ``files_per_batch`` files.
+
     The checkpoint takes the place of the watermark: it remembers the files read,
     so rows that arrive late are loaded too. A batch repeated after a failure
     replaces its own rows.
@@ -29,6 +32,7 @@ def drain_into(
 
     (
         table.spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
