@@ -16,8 +16,8 @@ from tidemark.operators.incremental import KeyedTable, newer_than
 from tidemark.operators.joins import choose_by_hash
 from tidemark.plans import core, hr, inventory, marketing, metrics, serving, staging
 from tidemark.plans.checks import CHECKS
-from tidemark.plans.models import MARTS, Models
-from tidemark.session import new_folder, stage
+from tidemark.plans.models import MARTS, ROUNDS, Models
+from tidemark.session import new_folder, stage, stage_all
 from tidemark.sources import generators
 from tidemark.sources.ingest import append, conform, literal_rows, row_counts
 from tidemark.sources.sample import AS_OF, SampleTables
@@ -315,9 +315,11 @@ def checked_tables(spark: SparkSession, folder: str, checks: list[quality.Check]
     """The tables the checks name, marts and generated raw tables stored first."""
     m = models(spark, folder)
     names = {c.table for c in checks} | {c.parent for c in checks if c.parent}
-    for table in ("order_items", "ad_spend", "order_attribution", "stock_movements"):
-        setattr(m.raw, table, stage(getattr(m.raw, table), table))
-    m.store(*[mart for mart in MARTS if mart in names])
+    for tables in (("order_items",), ("ad_spend", "order_attribution", "stock_movements")):
+        for table, stored in stage_all({table: getattr(m.raw, table) for table in tables}).items():
+            setattr(m.raw, table, stored)
+    for marts in ROUNDS:
+        m.store(*[mart for mart in marts if mart in names])
     return {name: getattr(m.raw, name[4:]) if name.startswith("raw.") else getattr(m, name) for name in names}
 
 

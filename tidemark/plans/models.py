@@ -7,14 +7,15 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 
 from tidemark.plans import core, hr, inventory, marketing, staging
-from tidemark.session import stage
+from tidemark.session import stage_all
 
-# Stored marts, each after the marts it reads.
-MARTS = (
-    "dim_employees", "dim_customers", "fact_orders", "rpt_monthly_revenue", "rpt_headcount_by_dept",
-    "fact_ad_spend", "rpt_campaign_performance", "rpt_customer_acquisition_cohorts", "fact_stock_movements",
-    "rpt_current_stock_levels", "rpt_inventory_reorder_alerts",
+# Stored marts in three rounds: a mart reads marts of earlier rounds only.
+ROUNDS = (
+    ("dim_employees", "dim_customers", "fact_ad_spend", "rpt_customer_acquisition_cohorts", "fact_stock_movements"),
+    ("fact_orders", "rpt_headcount_by_dept", "rpt_current_stock_levels"),
+    ("rpt_monthly_revenue", "rpt_campaign_performance", "rpt_inventory_reorder_alerts"),
 )
+MARTS = tuple(mart for marts in ROUNDS for mart in marts)
 
 
 class Models:
@@ -142,10 +143,11 @@ class Models:
         """Write the named models to the shared folder and read them from there.
 
         Store a model before its consumers are first used: those then start from
-        the stored table instead of repeating its work.
+        the stored table instead of repeating its work. Models stored in one call
+        do not see one another.
         """
-        for name in names:
-            self.replace(name, stage(getattr(self, name), name))
+        for name, stored in stage_all({name: getattr(self, name) for name in names}).items():
+            self.replace(name, stored)
         return self
 
     def replace(self, name: str, stored: DataFrame) -> None:
