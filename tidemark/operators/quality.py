@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +79,14 @@ def _null_counts(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     )
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """All parts, joined in halves: each is analysed a few times, not once per later part."""
+    if len(parts) == 1:
+        return parts[0]
+    half = len(parts) // 2
+    return _union(parts[:half]).unionByName(_union(parts[half:]))
+
+
 def report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One row per check: (table_name, column_name, test, failures).
 
@@ -102,4 +109,4 @@ def report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
         elif check.kind == "relationships":
             orphans = relationships(df, check.column, tables[check.parent], check.parent_column)
             parts.append(_labelled(check, orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))))
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
