@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import secrets, urls
+from tidemark.llm import secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,9 +30,18 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_sentences", "offending"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op8_url_filter": op8_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
