@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import secrets, toxicity, urls
+from tidemark.llm import packing, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,16 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+
+
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"), URL_RULES)
 
@@ -40,6 +50,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
+    "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
     "op10_toxicity": op10_toxicity,
 }
