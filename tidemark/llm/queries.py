@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, secrets, toxicity, urls
+from tidemark.llm import contamination, packing, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -50,9 +54,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
+    "op4_decontamination": op4_decontamination,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": contamination.ORACLE,
+}
