@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, packing, secrets, toxicity, urls
+from tidemark.llm import contamination, packing, secrets, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -55,6 +59,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
+    "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
     "op10_toxicity": op10_toxicity,
@@ -62,4 +67,5 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": contamination.ORACLE,
+    "op6_warc": warc.ORACLE,
 }
