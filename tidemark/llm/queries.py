@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, packing, secrets, toxicity, urls, warc
+from tidemark.llm import contamination, packing, secrets, toxicity, urls, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,10 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
