@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, packing, secrets, toxicity, urls, vectors, warc
+from tidemark.llm import contamination, nearcopies, packing, secrets, toxicity, urls, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return nearcopies.near_copies(table(spark, folder, "documents"))
+
+
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -63,6 +67,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
