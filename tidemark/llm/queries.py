@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, nearcopies, packing, repeats, secrets, toxicity, urls, vectors, warc
+from tidemark.llm import contamination, licences, nearcopies, packing, repeats, secrets, toxicity, urls, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, folder, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
 
@@ -70,6 +75,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op5_minhash_dedup": op5_minhash_dedup,
