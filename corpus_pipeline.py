@@ -5,15 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from tidemark.llm import contamination, nearcopies, packing, secrets, toxicity
+from tidemark.llm.queries import table, tokenizer_path
+from tidemark.session import stage as _store
 
-# Stages that train, sign or pack have no SQL.
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, trained on the labelled ones, does not predict to be toxic."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each class of near copies."""
+    return nearcopies.drop_near_copies(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with a mark in place of each secret; ``n_chars`` follows the text."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near-dedup", drop_near_copies),
+    ("decontamination", decontaminate),
+    ("secrets", redact_secrets),
+    ("packing", pack),
+]
+
+# Stages that train, sign and pack have no SQL.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages on ``documents``, each written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = _store(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -150,6 +150,18 @@ def _fit(y, first, at, place, keys, steps, l1) -> Model:
     return Model(keys[keep], w[keep], float(b))
 
 
+def _probabilities(s: Sentences, lookup: Lookup, bias: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each sentence, and by noisy-or of each text."""
+    z = np.zeros(len(s.end))
+    for f in s.features:
+        weight = lookup(f)
+        hit = np.flatnonzero(weight)
+        z += np.bincount(s.sentence[hit], weight[hit], len(z))
+    p = 1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))
+    p[s.end - s.start <= 1] = 0  # nothing but its end
+    return p, -np.expm1(np.add.reduceat(np.log1p(-np.minimum(p, 1 - 1e-12)), s.first[:-1]))
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
     """Every row: (key, score, predicted, n_sentences, offending).
 
@@ -161,14 +173,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             s = Sentences(block.column("text"))
-            z = np.zeros(len(s.end))
-            for f in s.features:
-                weight = lookup(f)
-                hit = np.flatnonzero(weight)
-                z += np.bincount(s.sentence[hit], weight[hit], len(z))
-            p = 1 / (1 + np.exp(-np.clip(z + model.bias, -30, 30)))
-            p[s.end - s.start <= 1] = 0  # nothing but its end
-            none = np.add.reduceat(np.log1p(-np.minimum(p, 1 - 1e-12)), s.first[:-1])
+            p, scores = _probabilities(s, lookup, model.bias)
             bad = np.flatnonzero(p >= threshold / 2)
             row = np.searchsorted(s.first, bad, "right") - 1
             spans = [[] for _ in range(block.num_rows)]
@@ -176,7 +181,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 spans[r].append(f"{a}:{b}")
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("id"), pa.array(-np.expm1(none)), pa.array(np.diff(s.first), pa.int64()),
+                    block.column("id"), pa.array(scores), pa.array(np.diff(s.first), pa.int64()),
                     pa.array([",".join(x) for x in spans], pa.string()),
                 ],
                 names=["id", "score", "n_sentences", "offending"],
@@ -188,3 +193,15 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return out.select(
         F.col("id").alias(key), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_sentences", "offending"
     )
+
+
+def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows whose text scores below ``threshold``, with all their columns; no row is moved."""
+    lookup = Lookup(model.keys, model.weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "_closed"):
+            _, scores = _probabilities(Sentences(block.column("_closed")), lookup, model.bias)
+            yield block.drop_columns(["_closed"]).filter(pa.array(scores < threshold))
+
+    return docs.withColumn("_closed", closed(F.col(text))).mapInArrow(run, docs.schema)
