@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 # Fixed values: (kind, pattern, group whose length counts, least length). Listed order breaks ties of start.
 STRONG = (
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -97,13 +99,8 @@ def _linked(found: DataFrame, scope: int) -> DataFrame:
     return reduce(DataFrame.unionByName, out).groupBy("_key").agg(F.collect_list("s").alias("_more"))
 
 
-def find_secrets(docs: DataFrame, text: str = "text", scope: int = 200) -> DataFrame:
-    """Every row with ``_base`` and ``_spans``: arrays of (start, place, end), strong ones and all.
-
-    ``text`` null or empty has no spans. Rows are neither merged nor dropped, whatever
-    their other columns hold; equal texts share one search for complements. A very
-    long text is scanned as a whole. Column names starting with ``_`` are the scan's own.
-    """
+def matches(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every row with the matches of its whole text: ``_strong``, ``_weak``, and ``_key`` to link them by."""
     whole = F.coalesce(F.col(text), F.lit(""))
 
     def all_of(kinds: tuple) -> Column:
@@ -111,15 +108,23 @@ def find_secrets(docs: DataFrame, text: str = "text", scope: int = 200) -> DataF
         return F.concat(*some)
 
     found = docs.withColumns({"_strong": all_of(STRONG), "_weak": all_of(WEAK)})
-    # A weak part alone needs no search: rows with nothing to link get a key that nothing matches, spread out.
+    # A weak part alone needs no search: such rows get keys of their own, that nothing matches and no task gathers.
     several = (F.size("_weak") > 0) & (F.size("_strong") + F.size("_weak") > 1)
-    found = found.withColumn(
-        "_key", F.when(several, F.md5(whole)).otherwise(F.concat(F.lit("-"), F.xxhash64(whole).cast("string")))
-    )
-    linked = _linked(found.where(several).select("_key", "_strong", "_weak"), scope)
+    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    return found.withColumn("_key", F.when(several, F.md5(whole)).otherwise(alone))
+
+
+def with_links(found: DataFrame, scope: int = 200) -> DataFrame:
+    """Rows of ``matches`` with ``_base`` and ``_spans``: arrays of (start, place, end), strong ones and all.
+
+    ``text`` null or empty has no spans. Rows are neither merged nor dropped, whatever
+    their other columns hold; equal texts share one search for complements. A very
+    long text is scanned as a whole. Column names starting with ``_`` are the scan's own.
+    """
+    some = stage(found.where(~F.startswith("_key", F.lit("-"))).select("_key", "_strong", "_weak"), "secret-parts")
     more = F.coalesce("_more", F.array().cast(SPAN))
     return (
-        found.join(linked, "_key", "left")
+        found.join(_linked(some, scope), "_key", "left")
         .withColumn("_base", F.col("_strong"))
         .withColumn("_spans", F.array_sort(F.concat("_strong", more)))
         .drop("_key", "_more", "_strong", "_weak")
@@ -128,7 +133,8 @@ def find_secrets(docs: DataFrame, text: str = "text", scope: int = 200) -> DataF
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int = 200) -> DataFrame:
     """Counts and positions per row: (key, n_assign, n_access, n_hex, base_sha256, spans)."""
-    found = find_secrets(docs.select(F.col(key).alias("_id"), F.col(text).alias("text")), "text", scope)
+    found = matches(docs.select(F.col(key).alias("_id"), F.col(text).alias("text")))
+    found = with_links(stage(found.drop("text"), "secret-matches"), scope)
 
     def count_of(kind: str) -> Column:
         return F.size(F.filter("_base", lambda s: s["place"] == KINDS[kind])).cast("long").alias(f"n_{kind}")
@@ -142,7 +148,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int =
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", scope: int = 200) -> DataFrame:
     """The rows with every span of their text replaced by ``mark``; touching and overlapping spans become one."""
-    found = find_secrets(docs, text, scope)
+    found = with_links(matches(docs, text), scope)
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
