@@ -3,7 +3,6 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tidemark import functions as fn
-from tidemark.operators.ordered import magnitude_block
 
 
 def one(spark, column):
@@ -47,11 +46,3 @@ def test_hash_is_the_start_of_an_md5(spark):
     expected = int(hashlib.md5(b"17|day").hexdigest()[:8], 16)
     assert one(spark, fn.stable_hash(F.lit(17), F.lit("day"))) == expected
     assert one(spark, fn.hash_bucket(60, F.lit(17), F.lit("day"))) == expected % 60
-
-
-def test_blocks_keep_order(spark):
-    values = [-1e300, -5.0, -4.99, -1e-9, 0.0, 1e-9, 0.5, 0.51, 1.0, 99.0, 100.0, 1e300]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    blocks = [r.b for r in df.select(magnitude_block(F.col("v")).alias("b")).collect()]
-    assert blocks == sorted(blocks)
-    assert max(blocks) < 710 * 64

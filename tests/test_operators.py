@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import joins, quality, snapshot
 from tidemark.operators.incremental import KeyedTable, latest_per_key, newer_than
-from tidemark.operators.ordered import exact_percentiles, rank_ascending, running_sum
+from tidemark.operators.ordered import exact_percentiles, numbered, rank_ascending, running_sum
 from tidemark.session import new_folder
 
 
@@ -95,21 +95,47 @@ def test_interval_join_equals_nested_loop(spark):
     assert rows(got, "id", "span") == want
 
 
-@pytest.mark.parametrize("limit, unroll", [(1000, 20), (1000, 1), (4, 1)])
-def test_choose_by_hash_with_short_and_long_lists(spark, monkeypatch, limit, unroll):
-    monkeypatch.setattr(joins, "ARRAY_LIMIT", limit)
-    monkeypatch.setattr(joins, "UNROLL_LIMIT", unroll)
+@pytest.mark.parametrize("n", [1, 17, 1500])
+def test_choose_by_hash_keeps_equal_rows(spark, n):
     import hashlib
 
     def h(*parts):
         return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:8], 16)
 
-    items = spark.range(50).withColumn("note", F.lit("n"))
-    places = spark.range(100, 117).withColumnRenamed("id", "place")
-    got = joins.choose_by_hash(items, "id", places, "place").select("id", "place")
-    assert rows(got, "id") == [(i, min((h(i, p), p) for p in range(100, 117))[1]) for i in range(50)]
+    items = spark.range(20).withColumn("note", F.lit("n"))
+    places = spark.range(100, 100 + n).withColumnRenamed("id", "place")
+    got = joins.choose_by_hash(items.unionByName(items), "id", places.unionByName(places), "place").select("id", "place")
+    want = [(i, min((h(i, p), p) for p in range(100, 100 + n))[1]) for i in range(20)]
+    assert rows(got, "id") == sorted(want * 2)
     grid = joins.with_every(items.select("id"), places, "place")
-    assert rows(grid, "id", "place") == [(i, p) for i in range(50) for p in range(100, 117)]
+    assert rows(grid, "id", "place") == [(i, p) for i in range(20) for p in range(100, 100 + n)]
+
+
+def test_too_many_candidates_end_the_query(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MOST_CANDIDATES", 3)
+    with pytest.raises(Exception, match="more than 3 candidates"):
+        joins.with_every(spark.range(2), spark.range(4).withColumnRenamed("id", "p"), "p").collect()
+
+
+def test_numbers_have_no_gaps(spark):
+    pick = random.Random(4)
+    data = [(7 if i % 3 else pick.randint(1, 9), pick.randint(1, 30), i, pick.randint(1, 3)) for i in range(800)]
+    df = spark.createDataFrame(data, "a long, b long, c long, n long").repartition(5)
+    place = [F.struct("a", F.floor(F.col("b") / 10)), [F.col("a"), F.col("b"), F.col("c")]]
+    got = numbered(df, "last", F.floor(F.col("a") / 4), *place, copies="n")
+    total, want = 0, []
+    for a, b, c, n in sorted(data):
+        total += n
+        want.append((a, b, c, n, total))
+    assert rows(got, "a", "b", "c") == want
+    assert sorted(r.k for r in numbered(df, "k", F.floor(F.col("a") / 4), *place).collect()) == list(range(1, 801))
+
+
+def test_ranks_in_a_narrow_band(spark):
+    pick = random.Random(5)
+    df = spark.createDataFrame([(i, 1000 + pick.randint(0, 300) / 1e6) for i in range(900)], "id long, v double")
+    want = df.withColumn("r", F.rank().over(Window.orderBy("v")).cast("long"))
+    assert rows(rank_ascending(df, "v", "r"), "id") == rows(want, "id")
 
 
 # Incremental loads
@@ -161,7 +187,8 @@ def test_upsert_leaves_other_partitions_alone(spark):
     before = {f for f in table.read().where("id >= 20").inputFiles()}
     part = {f for f in before if "_part=3" in f}
     loaded(spark, table, [(5, "b", stamp(2)), (-15, "c", stamp(2))])
-    assert part <= set(table.read().inputFiles())
+    after = set(table.read().inputFiles())
+    assert part <= after and not any("_version=1/" in f and "_part=0" in f for f in after)
     assert table.read().count() == 60
 
 
@@ -176,14 +203,47 @@ def test_batches_equal_one_refresh(spark, batches):
 
 
 def test_latest_per_key(spark):
-    df = spark.createDataFrame([(1, "a", stamp(1)), (1, "b", stamp(2))], SCHEMA)
-    assert rows(latest_per_key(df, "id", "loaded_at"), "id") == [(1, "b", stamp(2))]
+    df = spark.createDataFrame([(1, "a", stamp(1)), (1, "b", stamp(2)), (2, "only", None), (3, "x", None), (3, "y", stamp(1))], SCHEMA)
+    want = [(1, "b", stamp(2)), (2, "only", None), (3, "y", stamp(1))]
+    assert rows(latest_per_key(df, "id", "loaded_at"), "id") == want
 
 
 def test_sized_table_covers_the_keys(spark):
-    df = spark.createDataFrame([(i, "a", stamp(1)) for i in range(100)], SCHEMA)
-    assert KeyedTable.sized("p", df, df.schema, "id", 30).key_range == 25
-    assert KeyedTable.sized("p", df.where("id < 0"), df.schema, "id", 30).key_range == 1
+    df = spark.createDataFrame([(i * 10, "a", stamp(1)) for i in range(100)], SCHEMA)
+    assert KeyedTable.sized("p", df, df.schema, "id", 30).key_range == 248
+    assert KeyedTable.sized("p", df.where("id < 0"), df.schema, "id", 30).key_range == 30
+
+
+def test_small_first_load_does_not_cut_the_table_small(spark):
+    def batch(ids):
+        return spark.createDataFrame([(i, "a", stamp(1)) for i in ids], SCHEMA)
+
+    path, schema = new_folder(spark, "test-table"), batch([1]).schema
+    table = KeyedTable.sized(path, batch(range(10)), schema, "id", 1000)
+    table.upsert(batch(range(10)))
+    table.upsert(batch(range(10, 4990)))
+    table = KeyedTable.stored(spark, path, schema, "id")
+    assert table.key_range == 1000 and len(table._folders()) == 5 and table.read().count() == 4990
+
+
+@pytest.mark.parametrize("batches", [1, 2, 4])
+def test_newest_version_wins_however_batches_are_cut(spark, batches):
+    versions = [(1, "february", stamp(20)), (2, "a", stamp(1)), (1, "january", stamp(2)), (2, None, stamp(3)), (3, "x", None), (3, "y", stamp(1)), (1, "first", stamp(1)), (4, "z", None)]
+    table = new_table(spark)
+    for k in range(batches):
+        table.upsert(spark.createDataFrame(versions[len(versions) * k // batches : len(versions) * (k + 1) // batches], SCHEMA))
+    assert rows(table.read(), "id") == [(1, "february", stamp(20)), (2, None, stamp(3)), (3, "y", stamp(1)), (4, "z", None)]
+
+
+def test_dead_writes_are_not_seen(spark):
+    table = new_table(spark)
+    table.upsert(spark.createDataFrame([(1, "a", stamp(1))], SCHEMA))
+    spark.createDataFrame([(1, "dead", stamp(9))], SCHEMA).selectExpr("*", "10L as _range", "0L as _part").write.partitionBy(
+        "_range", "_part"
+    ).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{table.path}/_version=2")
+    assert rows(table.read(), "id") == [(1, "a", stamp(1))]
+    table.upsert(spark.createDataFrame([(2, "b", stamp(2))], SCHEMA))
+    assert rows(table.read().select("id", "v"), "id") == [(1, "a"), (2, "b")]
 
 
 # History

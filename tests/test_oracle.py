@@ -10,7 +10,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry
 from check_oracle import compare, oracle_connection
 
-NAMES = sorted(entry.queries())
+from tidemark.plans.catalog import QUERIES
+
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,7 @@ def con(small):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

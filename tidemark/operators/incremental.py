@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import stage
+from tidemark.session import next_version, stage, versions
 
 # Fixed value: the watermark of an empty target.
 EPOCH = "1900-01-01 00:00:00"
@@ -26,26 +25,28 @@ def newer_than(source: DataFrame, target: DataFrame, stamp: str = "loaded_at") -
     return source.where(F.col(stamp) > watermark.scalar())
 
 
-def merge(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Target rows whose key is not updated, plus all updates."""
-    return target.join(updates.select(key), key, "left_anti").unionByName(updates)
-
-
 def latest_per_key(df: DataFrame, key: str, stamp: str) -> DataFrame:
-    """One row per key, the one with the greatest stamp."""
-    rest = [c for c in df.columns if c != key]
-    newest = df.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(stamp)).alias("_row"))
+    """One row per key, the one with the greatest stamp.
+
+    A NULL stamp is the smallest; of equal stamps the greater row counts. The choice
+    depends on the rows alone, so batches may be cut in any way.
+    """
+    rest = [c for c in df.columns if c not in (key, stamp)]
+    newest = df.groupBy(key).agg(F.max(F.struct(stamp, *rest)).alias("_row"))
     return newest.select(key, "_row.*").select(*df.columns)
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A parquet table with one row per ``key``, partitioned by ranges of the key.
+    """A parquet table with one row per ``key``, kept in ranges of the key.
 
-    The partition is a function of the key alone. An upsert therefore finds every
-    old version of an updated row in the partitions of the updates and rewrites
-    only those; with keys handed out in sequence, that is the tail of the table.
-    The width of the ranges is itself a partition column, so a later run finds it.
+    An upsert finds every old version of an updated row in the ranges of the updates
+    and rewrites only those; with keys in the order of loading, that is the tail. The
+    first load, later batches and streams follow one rule: the greatest stamp wins.
+
+    Each write is a folder ``_version=n`` with the ranges it holds. The table is, for each
+    range, the last finished version of it. Nothing is overwritten: a write that dies
+    is never seen, and readers of the version before are not disturbed.
     """
 
     spark: SparkSession
@@ -58,62 +59,77 @@ class KeyedTable:
     def sized(
         path: str, keys: DataFrame, schema: T.StructType, key: str, rows_per_partition: int = 20_000_000
     ) -> KeyedTable:
-        """A table whose partitions hold about ``rows_per_partition`` of keys like these."""
+        """A table whose ranges hold about ``rows_per_partition`` of keys like these.
+
+        A range is never narrower than that many keys, so a table that begins small
+        and grows has no more ranges than its keys need.
+        """
         span = keys.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(key).alias("n")).first()
         partitions = max(1, -(-span["n"] // rows_per_partition))
-        key_range = max(1, -(-((span["hi"] or 0) - (span["lo"] or 0) + 1) // partitions))
-        return KeyedTable(keys.sparkSession, path, schema, key, key_range)
+        key_range = -(-((span["hi"] or 0) - (span["lo"] or 0) + 1) // partitions)
+        return KeyedTable(keys.sparkSession, path, schema, key, max(rows_per_partition, key_range))
 
     @staticmethod
     def stored(spark: SparkSession, path: str, schema: T.StructType, key: str) -> KeyedTable:
         """A table written before, with the ranges it was written with."""
         table = KeyedTable(spark, path, schema, key, 1)
-        width = table._stored().select("_range").first()
-        return table if width is None else replace(table, key_range=width["_range"])
+        widths = [int(folder.split("_range=")[1].split("/")[0]) for folder in table._folders().values()]
+        return replace(table, key_range=widths[0]) if widths else table
 
     def _keyed(self, df: DataFrame) -> DataFrame:
         width = f"{self.key_range}L"
         return df.selectExpr("*", f"{width} as _range", f"{self.key} div {width} as _part")
 
-    def _stored(self) -> DataFrame:
+    def _folders(self) -> dict[int, str]:
+        """For each range the folder of its last finished version: one listing of the table's folders."""
+        jvm = self.spark._jvm
+        fs = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        folders: dict[int, str] = {}
+        for v in versions(self.spark, self.path):
+            found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_version={v}/_range=*/_part=*")) or []
+            parts = {int(f.getPath().getName()[6:]): f.getPath().toString() for f in found}
+            # A version without a base holds the whole table.
+            folders = parts if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_version={v}/_whole")) else folders | parts
+        return folders
+
+    def _read(self, folders: list[str]) -> DataFrame:
         fields = [*self.schema.fields, T.StructField("_range", T.LongType()), T.StructField("_part", T.LongType())]
-        return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
+        schema = T.StructType(fields)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders).select(*schema.names)
 
     def exists(self) -> bool:
-        try:
-            self._stored()
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
+        return bool(versions(self.spark, self.path))
 
     def read(self) -> DataFrame:
-        return self._stored().drop("_range", "_part")
+        return self._read(list(self._folders().values())).drop("_range", "_part")
 
-    def _overwrite(self, df: DataFrame, partitions: str) -> None:
-        # Rebalance gathers a partition's rows into few files and splits a large partition over tasks.
-        writer = df.hint("rebalance", "_part").write.mode("overwrite")
-        writer.option("partitionOverwriteMode", partitions).partitionBy("_range", "_part").parquet(self.path)
+    def _write(self, df: DataFrame, whole: bool) -> None:
+        folder = next_version(self.spark, self.path)
+        if whole:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_whole")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
+        # Rebalance gathers a range's rows into few files and splits a large range over tasks.
+        df.hint("rebalance", "_part").write.mode("append").partitionBy("_range", "_part").parquet(folder)
 
-    def refresh(self, rows: DataFrame) -> None:
+    def refresh(self, rows: DataFrame, stamp: str = "loaded_at") -> None:
         """Replace the whole table."""
-        self._overwrite(self._keyed(rows), "static")
+        self._write(self._keyed(latest_per_key(rows, self.key, stamp)), whole=True)
 
     def upsert(self, updates: DataFrame, stamp: str = "loaded_at") -> None:
-        """Insert new keys and replace the rows of known ones.
+        """Insert new keys and replace the rows of known ones by newer versions.
 
-        Only the touched partitions are read and written. Spark keeps the new files
-        of a dynamic overwrite aside until all tasks are done, so the old ones can
-        still be read, and read again after the loss of an executor.
+        Only the ranges of the updates are read and written. The driver learns their
+        numbers, of which there are no more than folders that it lists anyway.
         """
         if not self.exists():
-            self.refresh(updates)
+            self.refresh(updates, stamp)
             return
-        updates = stage(self._keyed(latest_per_key(updates, self.key, stamp)), "updates")
-        # At most one number per partition of the table, which the driver lists anyway.
-        touched = [row["_part"] for row in updates.select("_part").distinct().collect()]
+        updates = stage(self._keyed(updates), "updates")
+        touched = {row["_part"] for row in updates.select("_part").distinct().toLocalIterator()}
         if not touched:
             return
-        old = self._stored().where(F.col("_part").isin(touched))
-        self._overwrite(merge(old, updates, self.key), "dynamic")
+        old = self._read([folder for part, folder in self._folders().items() if part in touched])
+        rows = old.unionByName(updates).drop("_range", "_part")
+        self._write(self._keyed(latest_per_key(rows, self.key, stamp)), whole=False)

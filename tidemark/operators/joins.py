@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import month_start, stable_hash
 
-# A list no longer than this may travel to every task as one array.
-ARRAY_LIMIT = 1000
-# Up to this length the choice is written out in the projection, where it is compiled.
-UNROLL_LIMIT = 16
+# Candidates travel to every task as one array; a longer list ends the query with an error.
+MOST_CANDIDATES = 100_000
 
 
 def interval_join(points: DataFrame, at: str, intervals: DataFrame, start: str, end: str) -> DataFrame:
@@ -33,51 +31,27 @@ def interval_join(points: DataFrame, at: str, intervals: DataFrame, start: str,
     )
 
 
-def _short_list(candidates: DataFrame, name: str) -> list[int] | None:
-    """The distinct candidates in order, or None when there are more than ARRAY_LIMIT."""
-    ids = candidates.select(F.col(name).cast("long").alias(name)).distinct().limit(ARRAY_LIMIT + 1).collect()
-    return sorted(row[0] for row in ids) if len(ids) <= ARRAY_LIMIT else None
-
-
-def _meet_pieces(rows: DataFrame, candidates: DataFrame, name: str) -> DataFrame:
-    """Each row beside each piece ``_ids`` of a long candidate list, of about ARRAY_LIMIT / 2 ids."""
-    ids = candidates.select(F.col(name).cast("long").alias(name)).distinct()
-    pieces = -(-2 * ids.count() // ARRAY_LIMIT)
-    piece = F.pmod(F.xxhash64(name), F.lit(pieces)).cast("int")
-    arrays = ids.groupBy(piece.alias("_piece")).agg(F.collect_list(name).alias("_ids"))
-    numbered = rows.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
-    return numbered.join(arrays, "_piece").drop("_piece")
+def _listed(candidates: DataFrame, name: str) -> Column:
+    """The distinct candidates in order, as one array that Spark reads when the query runs."""
+    ids = F.array_sort(F.collect_set(F.col(name).cast("long")))
+    too_many = F.raise_error(F.concat(F.lit(f"more than {MOST_CANDIDATES} candidates of {name}: "), F.size(ids).cast("string")))
+    return candidates.agg(F.when(F.size(ids) > MOST_CANDIDATES, too_many).otherwise(ids).alias("ids")).scalar()
 
 
 def with_every(rows: DataFrame, candidates: DataFrame, name: str) -> DataFrame:
-    """Each row once per candidate, without a cross join.
-
-    A short list is a literal in the projection; a long one arrives in pieces.
-    """
-    short = _short_list(candidates, name)
-    if short is not None:
-        return rows.withColumn(name, F.explode(F.lit(short).cast("array<bigint>")))
-    return _meet_pieces(rows, candidates, name).withColumn(name, F.explode("_ids")).drop("_ids")
+    """Each row once per candidate, generated inside the row: no join and no shuffle."""
+    return rows.withColumn(name, F.explode(_listed(candidates, name)))
 
 
 def choose_by_hash(rows: DataFrame, key: str, candidates: DataFrame, name: str) -> DataFrame:
-    """Add the candidate ``name`` whose hash with the row's unique ``key`` is lowest.
+    """Add the candidate ``name`` whose hash with the row's ``key`` is lowest; ties go to the smaller candidate.
 
-    Ties go to the smaller candidate. A short list is a literal, so the choice is a
-    projection of each row: no join, no shuffle, no row per pair. With a longer
-    list each row meets every piece of it and keeps the best of the winners.
+    The choice is a projection of each row, for a list of any length: rows are
+    neither moved nor merged, and equal rows stay as many as they were.
     """
 
     def place(candidate: Column) -> Column:
         return F.struct(stable_hash(F.col(key), candidate).alias("hash"), candidate.alias(name))
 
-    short = _short_list(candidates, name)
-    if short is not None and 2 <= len(short) <= UNROLL_LIMIT:
-        best = F.least(*[place(F.lit(i).cast("long")) for i in short])
-        return rows.withColumn(name, best.getField(name))
-    if short is not None:
-        best = F.array_min(F.transform(F.lit(short).cast("array<bigint>"), place))
-        return rows.withColumn(name, best.getField(name))
-    winners = _meet_pieces(rows, candidates, name).withColumn("_best", F.array_min(F.transform("_ids", place)))
-    best = winners.groupBy(*rows.columns).agg(F.min("_best").alias("_best"))
-    return best.withColumn(name, F.col("_best").getField(name)).drop("_best")
+    listed = rows.withColumn("_ids", _listed(candidates, name))
+    return listed.withColumn(name, F.array_min(F.transform("_ids", place)).getField(name)).drop("_ids")

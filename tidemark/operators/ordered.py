@@ -17,14 +17,16 @@ from pyspark.sql import functions as F
 from tidemark.session import stage
 
 
-def magnitude_block(value: Column, per_e_fold: int = 64) -> Column:
-    """Order-preserving block number of a double.
+def with_value_block(df: DataFrame, value: str) -> DataFrame:
+    """Stage the rows with ``_block``, a number that does not decrease with ``value``; NULLs come last.
 
-    Logarithmic, so any column of doubles falls into fewer than
-    2 * 710 * ``per_e_fold`` blocks, whatever its range and row count.
+    Blocks are the partitions of a range shuffle, which Spark cuts at sampled
+    quantiles. However close values lie, each block is about one task's share.
     """
-    return F.signum(value) * F.floor(F.log1p(F.abs(value)) * per_e_fold)
-
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(
+        df.repartitionByRange(parts, F.col(value).asc_nulls_last()).withColumn("_block", F.spark_partition_id()), "value-blocks"
+    )
 
 
 def _add_ignoring_null(a: Column, b: Column) -> Column:
@@ -40,43 +42,56 @@ def running_sum(
     ``block`` must not decrease along ``order`` and puts NULLs last. The sum of
     only NULLs is NULL, as in a window.
     """
-    rows = df.withColumn("_block", block)
-    block_keys = [*keys, "_block"]
+    # The keys as one struct, which is never NULL: a plain equality then joins NULL keys too, and
+    # the shuffle that serves the join serves the window.
+    rows = df.withColumn("_at", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], block.alias("block")))
     earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col("_block").asc_nulls_last())
+        Window.partitionBy(*[f"_at.k{i}" for i in range(len(keys))])
+        .orderBy(F.col("_at.block").asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = (
-        rows.groupBy(*block_keys)
+        rows.groupBy("_at")
         .agg(F.sum(value).alias("_total"))
-        .withColumn("_before", F.sum("_total").over(earlier))
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(block_keys)], "_before")
-    )
-    match = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(block_keys)]
-    )
-    inside = (
-        Window.partitionBy(*block_keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .select("_at", F.sum("_total").over(earlier).alias("_before"))
     )
+    inside = Window.partitionBy("_at").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        rows.join(before, match, "left")
+        rows.join(before, "_at", "left")
         .withColumn(out, _add_ignoring_null(F.col("_before"), F.sum(value).over(inside)))
         .select(*df.columns, out)
     )
 
 
+def numbered(df: DataFrame, out: str, coarse: Column, block: Column, order: list[Column], copies: str | None = None) -> DataFrame:
+    """Number the rows from 1 without gaps, in the order of ``coarse``, ``block`` and ``order``.
+
+    Two levels of totals: only one row per ``coarse`` value is put in one order,
+    then the blocks of each, then the rows of a block. ``copies`` names a column
+    that says how many numbers a row takes; ``out`` is the last of them.
+    """
+    rows = df.withColumns({"_coarse": coarse, "_copies": F.lit(1) if copies is None else F.col(copies)})
+    before = rows.groupBy("_coarse").agg(F.sum("_copies").alias("_n"))
+    upto = Window.orderBy(F.col("_coarse").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    before = before.select(F.struct("_coarse").alias("_in"), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_offset"))
+    within = running_sum(rows, "_copies", "_within", ["_coarse"], block, order)
+    return (
+        within.join(before, F.struct("_coarse") == F.col("_in"))
+        .withColumn(out, F.col("_offset") + F.col("_within"))
+        .select(*df.columns, out)
+    )
+
+
 def rank_ascending(df: DataFrame, value: str, out: str) -> DataFrame:
     """Global ``rank()`` over a double column, NULLs last.
 
     Ties collapse to one row per distinct value before anything is ordered, so
     a value shared by a third of the rows costs one row.
     """
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_sum(
-        counts, "_n", "_upto", [], magnitude_block(F.col(value)), [F.col(value).asc_nulls_last()]
-    ).select(F.col(value).alias("_value"), (F.col("_upto") - F.col("_n") + 1).alias(out))
-    return df.join(ranked, F.col(value).eqNullSafe(F.col("_value")), "left").select(*df.columns, out)
+    counts = with_value_block(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), value)
+    ranked = running_sum(counts, "_n", "_upto", [], F.col("_block"), [F.col(value).asc_nulls_last()])
+    ranked = ranked.select(F.struct(F.col(value).alias("v")).alias("_value"), (F.col("_upto") - F.col("_n") + 1).alias(out))
+    return df.withColumn("_value", F.struct(F.col(value).alias("v"))).join(ranked, "_value", "left").select(*df.columns, out)
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float]) -> DataFrame:
@@ -86,10 +101,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probabilities:
     two neighbouring values are found from cumulative counts. The counts per
     distinct value are staged, as three steps read them.
     """
-    counts = stage(
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts"
-    )
-    upto = running_sum(counts, "_n", "_upto", keys, magnitude_block(F.col(value)), [F.col(value).asc()])
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = with_value_block(counts, value)
+    upto = running_sum(counts, "_n", "_upto", keys, F.col("_block"), [F.col(value).asc()])
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     totals = totals.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "_total")
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)])

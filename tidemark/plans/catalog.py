@@ -13,11 +13,11 @@ from tidemark import functions as fn
 from tidemark.functions import div0, hash_bucket, stable_hash
 from tidemark.operators import quality, snapshot
 from tidemark.operators.incremental import KeyedTable, newer_than
-from tidemark.operators.joins import choose_by_hash
+from tidemark.operators.joins import choose_by_hash, interval_join
 from tidemark.plans import core, hr, inventory, marketing, metrics, serving, staging
 from tidemark.plans.checks import CHECKS
-from tidemark.plans.models import MARTS, ROUNDS, Models
-from tidemark.session import new_folder, stage, stage_all
+from tidemark.plans.models import MARTS, Models
+from tidemark.session import new_folder, read_version, stage, stage_all, write_version
 from tidemark.sources import generators
 from tidemark.sources.ingest import append, conform, literal_rows, row_counts
 from tidemark.sources.sample import AS_OF, SampleTables
@@ -95,7 +95,7 @@ def incremental_ad_spend(spark: SparkSession, folder: str) -> DataFrame:
     ]
     campaigns = m.stg_campaigns
     schema = marketing.fact_ad_spend(staging.ad_spend(spend), campaigns).schema
-    table = KeyedTable.sized(new_folder(spark, "fact-ad-spend"), spend, schema, "ad_spend_id")
+    table = KeyedTable.sized(new_folder(spark, "fact-ad-spend"), loads[0], schema, "ad_spend_id")
     for source in loads:
         source = staging.ad_spend(source)
         fresh = newer_than(source, table.read()) if table.exists() else source
@@ -123,7 +123,7 @@ def _load_ledger(spark: SparkSession, m: Models) -> tuple[KeyedTable, DataFrame]
         return inventory.fact_stock_movements(movements, m.stg_products, m.stg_warehouses)
 
     whole = enrich(staging.stock_movements(ledger))
-    table = KeyedTable.sized(new_folder(spark, "fact-stock-movements"), ledger, whole.schema, "movement_id")
+    table = KeyedTable.sized(new_folder(spark, "fact-stock-movements"), loads[0], whole.schema, "movement_id")
     for source in loads:
         source = staging.stock_movements(source)
         fresh = newer_than(source, table.read()) if table.exists() else source
@@ -154,7 +154,7 @@ def stream_incremental_movements(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     landing, checkpoint = new_folder(spark, "landing"), new_folder(spark, "stream-checkpoint")
-    table = KeyedTable.sized(new_folder(spark, "stream-movements"), ledger, enrich(ledger).schema, "movement_id")
+    table = KeyedTable.sized(new_folder(spark, "stream-movements"), first, enrich(ledger).schema, "movement_id")
     for rows in rounds:
         append(rows, "stock_movements", landing)
         drain_into(table, landing, RAW["stock_movements"], enrich, checkpoint)
@@ -162,12 +162,11 @@ def stream_incremental_movements(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mart_rebuild_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """A mart rebuilt over itself: the second run replaces the first."""
-    fact = models(spark, folder).fact_orders
+    """A mart rebuilt from itself: the second build reads the version it replaces."""
     path = new_folder(spark, "rebuild")
-    for _ in range(2):
-        fact.write.mode("overwrite").parquet(path)
-    return plain(spark.read.schema(fact.schema).parquet(path))
+    write_version(models(spark, folder).fact_orders, path)
+    write_version(read_version(spark, path), path)
+    return plain(read_version(spark, path))
 
 
 # History
@@ -219,13 +218,20 @@ def row_count_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def range_join_attribution(spark: SparkSession, folder: str) -> DataFrame:
-    """How many orders each campaign could have earned, and over which dates."""
+    """How many orders each campaign could have earned, and over which dates.
+
+    Orders are counted per day first, so the join meets days and campaigns, never single orders.
+    """
     raw = SampleTables(spark, folder)
+    days = raw.orders.groupBy("order_date").agg(F.count(F.lit(1)).alias("_orders"))
+    windows = raw.campaigns.select(
+        "campaign_id", "channel", "start_date", F.coalesce(F.col("end_date"), raw.as_of).alias("_last")
+    )
     return (
-        generators.eligible_campaigns(raw.orders, raw.campaigns, raw.as_of)
+        interval_join(days, "order_date", windows, "start_date", "_last")
         .groupBy("campaign_id", "channel")
         .agg(
-            F.count(F.lit(1)).alias("eligible_orders"),
+            F.sum("_orders").alias("eligible_orders"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
         )
@@ -312,15 +318,31 @@ def _scalar_round(m: Models) -> DataFrame:
 
 
 def checked_tables(spark: SparkSession, folder: str, checks: list[quality.Check]) -> dict[str, DataFrame]:
-    """The tables the checks name, marts and generated raw tables stored first."""
+    """The tables the checks name, with the columns checked.
+
+    A table that several checks read is staged, with those columns alone; one that a
+    single pass reads is not. The generated raw tables, which several marts are made
+    of, are staged once.
+    """
     m = models(spark, folder)
-    names = {c.table for c in checks} | {c.parent for c in checks if c.parent}
+    columns: dict[str, dict[str, None]] = {}
+    passes: dict[str, set] = {}
+    for c in checks:
+        columns.setdefault(c.table, {}).update(dict.fromkeys(c.columns))
+        passes.setdefault(c.table, set()).add("not_null" if c.kind == "not_null" else c)
+        if c.parent:
+            columns.setdefault(c.parent, {})[c.parent_column] = None
+            passes.setdefault(c.parent, set()).add(c)
     for tables in (("order_items",), ("ad_spend", "order_attribution", "stock_movements")):
         for table, stored in stage_all({table: getattr(m.raw, table) for table in tables}).items():
             setattr(m.raw, table, stored)
-    for marts in ROUNDS:
-        m.store(*[mart for mart in marts if mart in names])
-    return {name: getattr(m.raw, name[4:]) if name.startswith("raw.") else getattr(m, name) for name in names}
+
+    def narrow(name: str) -> DataFrame:
+        df = getattr(m.raw, name[4:]) if name.startswith("raw.") else getattr(m, name)
+        return df.select(*columns[name])
+
+    tables = {name: narrow(name) for name in columns}
+    return tables | stage_all({name: df for name, df in tables.items() if len(passes[name]) > 1 and not name.startswith("raw.")})
 
 
 def _checks(*kinds: str) -> Query:

@@ -21,60 +21,70 @@ MARTS = tuple(mart for marts in ROUNDS for mart in marts)
 class Models:
     """Staging and marts as lazy DataFrames.
 
-    ``raw`` has the raw tables as attributes, ``as_of`` is the run date. A mart
+    ``raw`` has the raw tables as attributes, ``as_of`` is the run date; with ``loaded``
+    the staging tables show when they were read, as ``_loaded_at``. A mart
     that is never stored is planned into its consumer, so Catalyst prunes and
     pushes through all of it; ``store`` writes marts once where several read them.
     """
 
-    def __init__(self, raw, as_of: Column):
-        self.raw, self.as_of = raw, as_of
+    def __init__(self, raw, as_of: Column, loaded: bool = False):
+        self.raw, self.as_of, self.loaded = raw, as_of, loaded
         self._stored: set[str] = set()
 
+    def copy(self) -> Models:
+        """The same models before any was stored; raw tables are shared."""
+        return Models(self.raw, self.as_of, self.loaded)
+
     # Staging
 
     @cached_property
     def stg_ad_spend(self) -> DataFrame:
-        return staging.ad_spend(self.raw.ad_spend)
+        return staging.ad_spend(self.raw.ad_spend, loaded=self.loaded)
 
     @cached_property
     def stg_campaigns(self) -> DataFrame:
-        return staging.campaigns(self.raw.campaigns, self.as_of)
+        return staging.campaigns(self.raw.campaigns, self.as_of, loaded=self.loaded)
 
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return staging.customers(self.raw.customers, self.as_of)
+        return staging.customers(self.raw.customers, self.as_of, loaded=self.loaded)
 
     @cached_property
     def stg_departments(self) -> DataFrame:
-        return staging.departments(self.raw.departments)
+        return staging.departments(self.raw.departments, loaded=self.loaded)
 
     @cached_property
     def stg_employees(self) -> DataFrame:
-        return staging.employees(self.raw.employees, self.as_of)
+        return staging.employees(self.raw.employees, self.as_of, loaded=self.loaded)
 
     @cached_property
     def stg_order_attribution(self) -> DataFrame:
-        return staging.order_attribution(self.raw.order_attribution)
+        return staging.order_attribution(self.raw.order_attribution, loaded=self.loaded)
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
-        return staging.order_items(self.raw.order_items)
+        return staging.order_items(self.raw.order_items, loaded=self.loaded)
+
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Staged order items for models that do not use their ids; cheaper where the source makes the ids."""
+        return staging.order_items(getattr(self.raw, "order_lines", self.raw.order_items))
 
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return staging.orders(self.raw.orders)
+        return staging.orders(self.raw.orders, loaded=self.loaded)
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return staging.products(self.raw.products)
+        return staging.products(self.raw.products, loaded=self.loaded)
 
     @cached_property
     def stg_stock_movements(self) -> DataFrame:
-        return staging.stock_movements(self.raw.stock_movements)
+        return staging.stock_movements(self.raw.stock_movements, loaded=self.loaded)
 
     @cached_property
     def stg_warehouses(self) -> DataFrame:
-        return staging.warehouses(self.raw.warehouses)
+        return staging.warehouses(self.raw.warehouses, loaded=self.loaded)
 
     # Marts
 
@@ -87,12 +97,12 @@ class Models:
         """The order fact's own columns; the stored fact when there is one."""
         if "fact_orders" in self._stored:
             return self.fact_orders
-        return core.order_amounts(self.stg_orders, self.stg_order_items)
+        return core.order_amounts(self.stg_orders, self.order_lines)
 
     @cached_property
     def fact_orders(self) -> DataFrame:
         return core.fact_orders(
-            core.order_amounts(self.stg_orders, self.stg_order_items), self.stg_customers, self.dim_employees
+            core.order_amounts(self.stg_orders, self.order_lines), self.stg_customers, self.dim_employees
         )
 
     @cached_property
@@ -131,7 +141,7 @@ class Models:
 
     @cached_property
     def sales_velocity(self) -> DataFrame:
-        return inventory.sales_velocity(self.stg_order_items, self.stg_orders)
+        return inventory.sales_velocity(self.order_lines, self.stg_orders)
 
     @cached_property
     def rpt_inventory_reorder_alerts(self) -> DataFrame:

@@ -8,15 +8,15 @@ seen.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import snapshot
+from tidemark.operators import quality, snapshot
 from tidemark.operators.incremental import KeyedTable, newer_than
 from tidemark.plans import inventory, marketing
 from tidemark.plans.models import MARTS, Models
 from tidemark.plans.naming import DOMAINS, SNAPSHOT_SCHEMA, target_schema
+from tidemark.session import next_version, read_version, stage, versions, write_version
 from tidemark.sources.schemas import RAW
 
 _DOMAIN = {
@@ -59,7 +59,12 @@ def _load(spark: SparkSession, models: Models, mart: str, path: str, full_refres
 def run(
     spark: SparkSession, models: Models, root: str, default_schema: str = "PUBLIC", full_refresh: bool = False
 ) -> dict[str, DataFrame]:
-    """Build everything below ``root``; each mart reads the stored marts before it."""
+    """Build everything below ``root``; each mart reads the stored marts before it.
+
+    The caller's ``models`` stay as they are. Every rebuild is a new version beside
+    the old ones, so no mart is overwritten while it is read.
+    """
+    models = models.copy()
     for table in RAW:
         getattr(models, f"stg_{table}").createOrReplaceTempView(f"stg_{table}")
     stored = {}
@@ -68,30 +73,42 @@ def run(
         if mart in _KEYS:
             stored[mart] = _load(spark, models, mart, path, full_refresh)
         else:
-            rows = getattr(models, mart)
-            rows.write.mode("overwrite").parquet(path)
-            stored[mart] = spark.read.schema(rows.schema).parquet(path)
+            stored[mart] = write_version(getattr(models, mart), path)
         models.replace(mart, stored[mart])
     return stored
 
 
+def check(stored: dict[str, DataFrame], checks: list[quality.Check], models: Models | None = None) -> DataFrame:
+    """The report of those checks whose tables the run has written, or ``models`` has raw or as staging.
+
+    Reads the stored tables as they are; nothing is built again or copied.
+    """
+    tables = dict(stored)
+    if models is not None:
+        tables |= {f"raw.{t}": getattr(models.raw, t) for t in RAW} | {f"stg_{t}": getattr(models, f"stg_{t}") for t in RAW}
+    return quality.report(tables, [c for c in checks if c.table in tables and (not c.parent or c.parent in tables)])
+
+
 def take_snapshot(spark: SparkSession, campaigns: DataFrame, root: str) -> DataFrame:
-    """Add a version of the campaign history and return it.
+    """Add what a look at the campaigns finds to their history and return the history.
 
-    Each call writes a new folder ``v=n`` from the last one, so no folder is read
-    while it is written, and a failed call leaves the last version in place.
+    Closed versions are only ever added to (below ``closed``, where all versions count); the
+    open ones, one per campaign, are rewritten (below ``open``, where the last counts). A call
+    that dies between the two writes leaves closed versions whose open form still
+    counts; they are told apart by their id, and the next call closes them again.
     """
     base, key, stamp = f"{root}/{SNAPSHOT_SCHEMA}/campaigns_snapshot", "campaign_id", "updated_at"
-    try:
-        versions = spark.read.parquet(base)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last, history = 0, snapshot.first_snapshot(campaigns, key, stamp)
-    else:
-        last = versions.agg(F.max("v")).first()[0]
-        previous = versions.where(F.col("v") == last).drop("v")
-        history = snapshot.next_snapshot(previous, campaigns, key, stamp)
-    path = f"{base}/v={last + 1}"
-    history.write.parquet(path)
-    return spark.read.schema(history.schema).parquet(path)
+    if not versions(spark, f"{base}/open"):
+        return write_version(snapshot.first_snapshot(campaigns, key, stamp), f"{base}/open")
+    current = read_version(spark, f"{base}/open")
+    history = stage(snapshot.next_snapshot(current, campaigns, key, stamp), "history")
+    closed = history.where(F.col("valid_to").isNotNull())
+    if not closed.isEmpty():
+        closed.write.parquet(next_version(spark, f"{base}/closed"))
+    opened = write_version(history.where(F.col("valid_to").isNull()), f"{base}/open")
+    done = versions(spark, f"{base}/closed")
+    if not done:
+        return opened
+    past = spark.read.schema(history.schema).parquet(*[f"{base}/closed/_version={v}" for v in done])
+    past = past.join(opened.select("version_id"), "version_id", "left_anti").dropDuplicates(["version_id"])
+    return past.select(*opened.columns).unionByName(opened)

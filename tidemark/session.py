@@ -38,13 +38,14 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only a local-mode session, where driver and executors share one disk, may
-    fall back to a temporary folder of its own.
+    Only a session in one process (``local`` or ``local[n]``), such as a test's, may
+    fall back to a temporary folder of its own; ``local-cluster`` may not.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -68,7 +69,51 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has staged. Results that still read it must have been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_folder(spark), "tidemark", spark.sparkContext.applicationId))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_VERSION = "_version="
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The finished versions below ``path``: folders ``_version=n`` whose write was committed."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    folders = [f.getPath() for f in fs.listStatus(base) if f.getPath().getName().startswith(_VERSION)]
+    done = [f for f in folders if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted(int(f.getName()[len(_VERSION) :]) for f in done)
+
+
+def next_version(spark: SparkSession, path: str) -> str:
+    """A folder above all begun ones, finished or not, for the next version."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    begun = [f.getPath().getName() for f in fs.listStatus(base)] if fs.exists(base) else []
+    return f"{path}/{_VERSION}{max([0, *(int(n[len(_VERSION) :]) for n in begun if n.startswith(_VERSION))]) + 1}"
+
+
+def write_version(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as a new version below ``path`` and read it back.
+
+    Spark marks a folder when its write is committed, and readers take the last
+    marked one. Older versions stay, so a table may be rebuilt from itself and a
+    write that dies leaves the last version in place.
+    """
+    folder = next_version(df.sparkSession, path)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/{_VERSION}{versions(spark, path)[-1]}")
+
+
 def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stage tables that do not read one another, their jobs side by side."""
-    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(tables)))) as pool:
         return dict(zip(tables, pool.map(lambda name: stage(tables[name], name), tables)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import add_weeks, hash_bucket, stable_hash, week_start, weeks_crossed
 from tidemark.operators.joins import choose_by_hash, interval_join, with_every
-from tidemark.operators.ordered import running_sum
+from tidemark.operators.ordered import numbered, running_sum
 from tidemark.session import spread
 
 # Cost per click in cents and clicks per thousand impressions by channel.
@@ -120,9 +120,9 @@ def order_attribution(orders: DataFrame, campaigns: DataFrame, as_of: Column) ->
     )
 
 
-def _ledger_rows(df: DataFrame, movement_id: Column, day: Column, kind: Column, quantity: Column) -> DataFrame:
+def _ledger_rows(df: DataFrame, source: Column, day: Column, kind: Column, quantity: Column) -> DataFrame:
     return df.select(
-        movement_id.alias("movement_id"), "product_id", "warehouse_id", day.alias("movement_date"),
+        source.alias("_source"), "product_id", "warehouse_id", day.alias("movement_date"),
         kind.alias("movement_type"), quantity.cast("long").alias("quantity_change"),
         day.cast("timestamp_ntz").alias("loaded_at"),
     )
@@ -143,16 +143,17 @@ def stock_movements(
 ) -> DataFrame:
     """The ledger: restocks, their occasional corrections, and one sale per order item.
 
-    Ids are composed from the keys of each row (kind in the last digit), which
-    makes them distinct without numbering the ledger in one order.
+    Ids number the ledger by date, so that a later load has the greater ids; within
+    a date by type, then the product or order item a row comes from, and warehouse.
+    Days, and ranges of products or items within a day, are put in order by their
+    totals.
     """
     grid = restock_grid(products, warehouses)
     cell = [F.col("product_id"), F.col("warehouse_id"), F.col("_cycle")]
-    slot = (F.col("product_id") * 100000 + F.col("warehouse_id") % 100000) * RESTOCK_CYCLES + F.col("_cycle")
     day = add_weeks(F.lit(first_restock), F.col("_cycle") * RESTOCK_WEEKS)
 
     restocks = _ledger_rows(
-        grid, slot * 10 + 2, day, F.lit("restock"), RESTOCK_LEAST + hash_bucket(RESTOCK_SPREAD, *cell)
+        grid, F.col("product_id"), day, F.lit("restock"), RESTOCK_LEAST + hash_bucket(RESTOCK_SPREAD, *cell)
     )
     picked = grid.where(hash_bucket(CORRECTION_ONE_IN, *cell, F.lit("pick")) == 0)
     is_adjustment = hash_bucket(2, *cell, F.lit("kind")) == 0
@@ -160,7 +161,7 @@ def stock_movements(
     delay = CORRECTION_DAYS_LEAST + hash_bucket(CORRECTION_DAYS_SPREAD, *cell, F.lit("day"))
     corrections = _ledger_rows(
         picked,
-        slot * 10 + 3,
+        F.col("product_id"),
         F.date_add(day, delay.cast("int")),
         F.when(is_adjustment, "adjustment").otherwise("return"),
         F.when(is_adjustment, -(1 + size % ADJUSTMENT_MOST)).otherwise(1 + size % RETURN_MOST),
@@ -170,6 +171,9 @@ def stock_movements(
     )
     sales = _ledger_rows(
         choose_by_hash(sold, "order_item_id", warehouses, "warehouse_id"),
-        F.col("order_item_id") * 10 + 1, F.col("order_date"), F.lit("sale"), -F.col("quantity"),
+        F.col("order_item_id"), F.col("order_date"), F.lit("sale"), -F.col("quantity"),
     )
-    return restocks.unionByName(corrections).unionByName(sales)
+    ledger = restocks.unionByName(corrections).unionByName(sales)
+    block = F.struct("movement_type", F.expr("floor(_source / 100000)"))
+    order = [F.col("movement_type"), F.col("_source"), F.col("warehouse_id")]
+    return numbered(ledger, "movement_id", F.col("movement_date"), block, order)

@@ -15,6 +15,18 @@ def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.read.schema(RAW[table]).parquet(path)
 
 
+class RawTables:
+    """The raw tables of a folder, one parquet table each, with their declared schemas, as attributes."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def __getattr__(self, table: str) -> DataFrame:
+        if table not in RAW:
+            raise AttributeError(table)
+        return read_raw(self.spark, table, f"{self.root}/{table}")
+
+
 def literal_rows(spark: SparkSession, table: str, rows: list[tuple]) -> DataFrame:
     """A raw table from rows written in code."""
     return spark.createDataFrame(rows, RAW[table])

@@ -1,7 +1,8 @@
 """The raw tables derived from the given TPC-H-like parquet tables.
 
-Every raw row comes from a given row or an aggregate of given rows; nothing is
-dropped. Suppliers appear a second time as customers without orders, and brands
+Every raw row comes from a given row or an aggregate of given rows; no given row is
+dropped. A customer or supplier without a known nation has no city and state;
+departments and warehouses are those of known regions. Suppliers appear a second time as customers without orders, and brands
 as gift-box products without sales, so the outer joins have something to miss.
 """
 
@@ -13,6 +14,7 @@ from functools import cache, cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import numbered
 from tidemark.session import stage
 from tidemark.sources import generators
 from tidemark.sources.ingest import conform
@@ -58,15 +60,15 @@ class SampleTables:
     @cached_property
     def _places(self) -> DataFrame:
         """Nations with their region: 25 and 5 rows by the definition of those tables."""
-        return self.given("nation").join(self.given("region"), F.expr("n_regionkey = r_regionkey"))
+        return self.given("nation").join(self.given("region"), F.expr("n_regionkey = r_regionkey"), "left")
 
     @cached_property
     def _suppliers(self) -> DataFrame:
-        return self.given("supplier").join(self._places, F.expr("s_nationkey = n_nationkey"))
+        return self.given("supplier").join(self._places, F.expr("s_nationkey = n_nationkey"), "left")
 
     @cached_property
     def customers(self) -> DataFrame:
-        buyers = self.given("customer").join(self._places, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        buyers = self.given("customer").join(self._places, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
             "c_custkey as customer_id", "'Customer' as first_name", "substring(c_name, 10, 20) as last_name",
             "concat(upper(c_name), '@EXAMPLE.COM') as email", "n_name as city", "r_name as state",
             f"{_day_after('1990-01-01', 'c_custkey % 1500')} as registration_date",
@@ -103,7 +105,7 @@ class SampleTables:
 
     @cached_property
     def departments(self) -> DataFrame:
-        by_region = self._suppliers.groupBy("r_regionkey", "r_name").agg(
+        by_region = self._suppliers.where("r_regionkey is not null").groupBy("r_regionkey", "r_name").agg(
             F.expr("max(n_name) as location"),
             F.expr("min(s_suppkey) as manager_id"),
             F.expr("max(cast(s_acctbal as decimal(10,2))) * 100 as budget"),
@@ -114,7 +116,7 @@ class SampleTables:
 
     @cached_property
     def warehouses(self) -> DataFrame:
-        by_region = self._suppliers.groupBy("r_regionkey", "r_name").agg(
+        by_region = self._suppliers.where("r_regionkey is not null").groupBy("r_regionkey", "r_name").agg(
             F.expr("min(n_name) as city"), F.expr("sum(cast(s_acctbal as decimal(10,2))) > 0 as is_active")
         )
         return conform(
@@ -163,22 +165,31 @@ class SampleTables:
 
     @cached_property
     def order_items(self) -> DataFrame:
-        """Line items with an id made from order, part and place among equal ones.
+        """Line items, numbered in the order of all the columns used.
 
-        The given line numbers repeat within an order. Rows are numbered within
-        order and part (modulo 1000), so that even an order with a third of all
-        lines is spread over a thousand window groups. Rows that tie are equal in
-        every column used, so their order does not matter.
+        The given line numbers repeat within an order. Equal lines are counted first
+        and take as many numbers as they are; orders in groups, and the parts of an
+        order in groups, are numbered by their totals, so a hot order or part is
+        never put in order as a whole.
         """
-        cents = "cast(round(l_extendedprice * 100) as long) div cast(l_quantity as long) div 500"
-        numbered = self.given("lineitem").selectExpr(
-            "*",
-            "row_number() over (partition by l_orderkey, l_partkey % 1000 order by "
-            "l_partkey, l_quantity, l_extendedprice, l_discount, l_linenumber) as _place",
+        used = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
+        equal = self.given("lineitem").groupBy(*used).agg(F.count(F.lit(1)).alias("_n"))
+        last = numbered(
+            equal, "_last", F.expr("l_orderkey div 4096"), F.struct("l_orderkey", F.expr("l_partkey div 1000")),
+            [F.col(c) for c in used], "_n",
         )
+        return self._lines(last, "explode(sequence(_last - _n + 1, _last))")
+
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """The order items without their ids, which a projection of the given rows is enough for."""
+        return self._lines(self.given("lineitem"), "cast(null as long)")
+
+    def _lines(self, lines: DataFrame, item_id: str) -> DataFrame:
+        cents = "cast(round(l_extendedprice * 100) as long) div cast(l_quantity as long) div 500"
         return conform(
-            numbered.selectExpr(
-                "(l_orderkey * 1000 + l_partkey % 1000) * 1000 + _place as order_item_id", "l_orderkey as order_id",
+            lines.selectExpr(
+                f"{item_id} as order_item_id", "l_orderkey as order_id",
                 "l_partkey as product_id", "cast(l_quantity as long) as quantity", f"{_hundredth(cents)} as unit_price",
                 "if(l_linenumber = 7, null, round(l_discount * 100)) as discount_pct",
             ),
