@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,6 +133,79 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return both.mapInArrow(_overlaps, "a long, b long, similarity double").where(F.col("similarity") >= threshold).select("a", "b")
 
 
+def _tiles(df: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """Rows with the tiles (i, j), i <= j, that compare their block of a group with every block of it.
+
+    A group of up to ``block`` rows is one tile; a larger one is as many tasks as it
+    has pairs of blocks, none of more than two blocks.
+    """
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n"))
+    rows = df.join(sizes, keys).withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("n")).cast("int"))
+    after = F.transform(F.sequence("block", F.col("n") - 1), lambda j: F.struct(F.col("block").alias("i"), j.alias("j")))
+    earlier = F.filter(F.sequence(F.lit(0), F.col("block")), lambda i: i < F.col("block"))
+    before = F.transform(earlier, lambda i: F.struct(i.alias("i"), F.col("block").alias("j")))
+    return rows.select("*", F.inline(F.concat(after, before))).drop("n")
+
+
+def _forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
+    """Edges (a, b) that connect the rows just as the pairs (i, j) do, one per row at most."""
+    root = np.arange(len(ids))
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    child = np.flatnonzero(root != np.arange(len(ids)))
+    return pd.DataFrame({"a": ids[root[child]].astype(np.int64), "b": ids[child].astype(np.int64)})
+
+
+def _loosely_linked(least: float):
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        """Connections by estimate within a tile of one bucket."""
+        prints = np.array(tile["prints"].tolist(), np.int64).view(np.uint16)
+        found = []
+        for at in range(0, len(prints), 64):
+            agree = (prints[at : at + 64, None] == prints[None]).sum(2)
+            found.append(np.stack(np.nonzero(agree >= least)) + np.array([[at], [0]]))
+        i, j = np.concatenate(found, 1)
+        return _forest(tile["id"].to_numpy(), i, j)
+
+    return run
+
+
+def _exactly_linked(threshold: float):
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        """Connections by exact similarity within a tile of one loose group.
+
+        Each copy of a shingle is a column, so a product of the rows counts the smaller multiplicities.
+        """
+        row, h, count = multisets(pa.array(tile["text"].tolist(), pa.binary()))
+        n = len(tile)
+        size = np.bincount(row, count, n)
+        copy = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        row, h = np.repeat(row, count), mixed(np.repeat(h, count) + copy.astype(np.uint64) * _ODD)
+        _, column, seen = np.unique(h, return_inverse=True, return_counts=True)
+        row, column = row[seen[column] > 1], column[seen[column] > 1]
+        used, column = np.unique(column, return_inverse=True)
+        shared = np.zeros((n, n))
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for at in range(0, len(used), 4096):
+            low, high = np.searchsorted(column, [at, at + 4096])
+            part = np.zeros((n, 4096), np.float32)
+            part[row[low:high], column[low:high] - at] = 1
+            shared += part @ part.T
+        total = size[:, None] + size[None] - shared
+        i, j = np.nonzero((shared >= threshold * total - 1e-9) & (shared > 0))
+        return _forest(tile["id"].to_numpy(), i, j)
+
+    return run
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, deviations: float = 4.0) -> DataFrame:
     """One row per row of ``docs``: (key, class_id, kept).
 
@@ -142,11 +216,12 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     Rows that repeat a key are one document: all get the smallest class of their texts.
     Other columns are ignored.
 
-    Equal multisets are one row until the end. In a bucket every member is compared
-    with a leader, which differs from band to band, and then only with members that
-    are still in another class, so a large group is never expanded into its pairs.
-    Pairs whose estimate lies more than ``deviations`` standard errors below the
-    threshold are not verified.
+    Equal multisets are one row until the end. In a bucket every member is estimated
+    against a leader, which differs from band to band, and verified against the best.
+    Only where a bucket then still holds several classes are its members put into
+    loose groups by estimate, whose texts are compared exactly in tiles of bounded
+    size that return no more links than they have rows. Pairs whose estimate lies more
+    than ``deviations`` standard errors below the threshold are not compared.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     keyed = rows.where(F.col("id").isNotNull()).withColumn("place", F.xxhash64("text"))
@@ -188,21 +263,20 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     def component(side: str) -> DataFrame:
         return of.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        both = pairs.select("a", "b").join(component("a"), "a", "left").join(component("b"), "b", "left")
-        return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-
-    # Members of one bucket that are still in different classes.
+    # Members of one bucket that are still in different classes: loose groups by estimate.
     split = members.select("band", "bucket", "id").join(component("id"), "id", "left")
     split = split.withColumn("of", F.coalesce("of_id", "id")).drop("of_id").join(prints, "id")
     mixed_up = split.groupBy("band", "bucket").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi")
     split = split.join(mixed_up.select("band", "bucket"), ["band", "bucket"], "left_semi")
-    x, y = split.alias("x"), split.alias("y")
-    close = _agreeing(F.col("x.prints"), F.col("y.prints")) >= least
-    at = (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.of") < F.col("y.of"))
-    across = x.join(y, at & close).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    rest = stage(apart(estimated).unionByName(across).distinct(), "bag-rest")
-    links = links.unionByName(stage(_verified(rest, texts, threshold), "bag-links"))
+    tiles = _tiles(split.drop("of"), ["band", "bucket"], 1_000).groupBy("band", "bucket", "i", "j")
+    near = tiles.applyInPandas(_loosely_linked(least), "a long, b long").distinct()
+    loose = components(estimated.select("a", "b").unionByName(near))
+    # In a loose group with several classes every two texts are compared exactly, tile by tile.
+    loose = stage(loose.select(F.col("node").alias("id"), F.col("component").alias("loose")).join(component("id"), "id", "left"), "bag-loose")
+    several = loose.groupBy("loose").agg(F.min(F.coalesce("of_id", "id")).alias("lo"), F.max(F.coalesce("of_id", "id")).alias("hi"))
+    open_groups = loose.join(several.where("lo < hi").select("loose"), "loose", "left_semi").select("loose", "id").join(texts, "id")
+    exact = _tiles(open_groups, ["loose"], 300).groupBy("loose", "i", "j").applyInPandas(_exactly_linked(threshold), "a long, b long")
+    links = links.unionByName(stage(exact, "bag-links"))
 
     of = components(links)
     named = classes.select("c1", "c2", "id").join(component("id"), "id", "left").withColumn("class_id", F.coalesce("of_id", "id"))
