@@ -122,20 +122,22 @@ def _batch(names: str, **columns: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _intervals(names: str, doc: np.ndarray, v: np.ndarray, a: np.ndarray, b: np.ndarray, **more: int) -> pa.RecordBatch:
+def _intervals(names: str, doc: np.ndarray, v: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     doc, v, a, b = _joined(doc, v, a, b)
-    return _batch(names, doc=doc, v=v, a=a, b=b, **{k: np.full(len(doc), x) for k, x in more.items()})
+    return _batch(names, doc=doc, v=v, a=a, b=b)
 
 
 def _cut(buckets: int, chunk: int, many: int):
     """Spans of a chunk of text by bucket, without those that repeat within it."""
 
-    def flush(held: list[np.ndarray], number: int) -> Iterator[pa.RecordBatch]:
+    def flush(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         x, first = _first_of_content(np.concatenate(held))
         gone, x = x[~first], x[first]
         if len(gone):
             a = gone["s"].astype(np.int64)
-            yield _intervals(PART, gone["doc"], gone["v"], a, a + gone["n"], to=buckets + number % buckets)
+            doc, v, a, b = _joined(gone["doc"], gone["v"], a, a + gone["n"])
+            to = (mixed(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            yield _batch(PART, to=to, doc=doc, v=v, a=a, b=b)
         # An anchor with many contents is spread; its bucket gets a mark (of no bytes) that says so.
         new = np.ones(len(x), bool)
         new[1:] = x["h"][1:] != x["h"][:-1]
@@ -153,7 +155,7 @@ def _cut(buckets: int, chunk: int, many: int):
         yield _batch(PART, to=full.astype(np.int32), spans=[x[ends[k] : ends[k + 1]].tobytes() for k in full])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, number = [], 0, 0
+        held, size = [], 0
         for block in blocks(batches, "text"):
             data, bounds = content(block.column("text"))
             doc, v = block.column("doc").to_numpy(), block.column("v").to_numpy()
@@ -174,10 +176,10 @@ def _cut(buckets: int, chunk: int, many: int):
                 held.append(x)
                 size += int(high - low)
             if size >= chunk and held:
-                yield from flush(held, number)
-                held, size, number = [], 0, number + 1
+                yield from flush(held)
+                held, size = [], 0
         if held:
-            yield from flush(held, number)
+            yield from flush(held)
 
     return run
 
