@@ -162,8 +162,10 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_backgrou
             texts.append(v)
             label.append(FAMILIES.index(family))
     made = _negatives(rng, 1_500)
-    some = docs.select(F.col(text).alias("t"), F.xxhash64(key, text).alias("h")).where("t is not null")
-    some = [r.t for r in some.orderBy("h", "t").limit(max_background).collect()]
+    hashed = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t"), F.xxhash64(key, text).alias("h"))
+    # At most max_background hashes: safe to broadcast. Texts leave their tasks only once they are chosen.
+    chosen = F.broadcast(hashed.select("h").distinct().orderBy("h").limit(max_background))
+    some = [r.t for r in hashed.join(chosen, "h").dropDuplicates(["h"]).orderBy("h").collect()]
     lines = [x for t in some for x in t.split("\n") if x.strip()]
     triples = set()
     for _, t in flat:
