@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import END, Lookup, Words, blocks, closed
+from tidemark.session import stage
 
 HEADS = (4, 5, 6)  # word beginnings of so many bytes are features beside whole words
 # A sentence without evidence stays below this log-odds, so that length alone makes no document toxic.
@@ -55,25 +56,49 @@ class Model:
     bias: float
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each row its sentences' features as bytes: unique (sentence, hash) pairs."""
+def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each feature of a block the rows, and the toxic rows, that it stands in."""
     for block in blocks(batches, "text"):
         s = Sentences(block.column("text"))
-        sentence = np.concatenate([s.sentence] * len(s.features))
-        h = np.concatenate(s.features)
-        keep = h != 0
-        pairs = np.unique(np.rec.fromarrays([sentence[keep], h[keep]], names="s,h"))
-        cut = np.searchsorted(pairs.s, s.first)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "toxic": block.column("toxic"),
-                "sentences": pa.array(np.diff(s.first), pa.int64()),
-                "at": [(pairs.s[a:b] - f).astype(np.int32).tobytes() for a, b, f in zip(cut, cut[1:], s.first)],
-                "hash": [np.ascontiguousarray(pairs.h[a:b]).tobytes() for a, b in zip(cut, cut[1:])],
-            }
+        text = np.searchsorted(s.first, s.sentence, "right") - 1
+        h, text = np.concatenate(s.features), np.concatenate([text] * len(s.features))
+        h, text = h[h != 0], text[h != 0]
+        order = np.lexsort((text, h))
+        h, text = h[order], text[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+        h, bad = h[new], block.column("toxic").to_numpy()[text[new]]
+        keys, first, n = np.unique(h, return_index=True, return_counts=True)
+        bad = np.add.reduceat(bad, first) if len(h) else bad
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(n, pa.int64()), pa.array(bad.astype(np.int64))], names=["h", "n", "bad"]
         )
 
 
+def _hits(keys: np.ndarray):
+    """For each row its sentences, and the places of ``keys`` in them as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(keys, np.arange(1, len(keys) + 1))
+        for block in blocks(batches, "text"):
+            s = Sentences(block.column("text"))
+            place = np.concatenate([lookup(f) for f in s.features])
+            sentence = np.concatenate([s.sentence] * len(s.features))[place > 0]
+            pairs = np.unique(sentence << 32 | place[place > 0] - 1)
+            sentence, place = pairs >> 32, pairs & 0xFFFFFFFF
+            cut = np.searchsorted(sentence, s.first)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "toxic": block.column("toxic"),
+                    "sentences": pa.array(np.diff(s.first), pa.int64()),
+                    "at": [(sentence[a:b] - f).tobytes() for a, b, f in zip(cut, cut[1:], s.first)],
+                    "place": [place[a:b].tobytes() for a, b in zip(cut, cut[1:])],
+                }
+            )
+
+    return run
+
+
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
     max_labelled: int = 4_000, least: int = 3, steps: int = 200, l1: float = 4e-4, skip_held_out: bool = True,
@@ -95,32 +120,30 @@ def train(
     # At most max_labelled keys: safe to broadcast.
     chosen = F.broadcast(half[0].unionByName(half[1]))
     rows = docs.select(F.col(key).alias("_key"), closed(F.col(text)).alias("text")).join(chosen, "_key")
-    out = rows.select("toxic", "text").mapInArrow(_features, "toxic int, sentences long, at binary, hash binary").toPandas()
-    if out["toxic"].nunique() < 2:
+    rows = stage(rows.select("toxic", "text"), "labelled")
+    all_bad, all_good = rows.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
+    if not all_bad or not all_good:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -50.0)
 
+    # Features are counted by Spark; only the telling ones reach the driver, some thousand at most.
+    counts = rows.mapInArrow(_presence, "h long, n long, bad long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    bad, good = F.col("bad").cast("double"), (F.col("n") - F.col("bad")).cast("double")
+    telling = counts.where((F.col("n") >= least) & _telling(bad, good, float(all_bad), float(all_good)))
+    keys = np.sort(telling.select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+    out = rows.mapInArrow(_hits(keys), "toxic int, sentences long, at binary, place binary").toPandas()
     y = out["toxic"].to_numpy(np.float64)
     first = np.concatenate([[0], np.cumsum(out["sentences"].to_numpy())])
-    h = np.frombuffer(b"".join(out["hash"]), np.uint64)
-    at = np.concatenate([np.frombuffer(a, np.int32) + f for a, f in zip(out["at"], first)])
-    doc = np.repeat(np.arange(len(y)), [len(a) // 4 for a in out["at"]])
-    # A feature must stand in so many different rows.
-    seen = np.unique(np.rec.fromarrays([h, doc], names="h,d"))
-    keys, place, n = np.unique(seen.h, return_inverse=True, return_counts=True)
-    bad = np.bincount(place, y[seen.d], len(keys))
-    keys = keys[(n >= least) & _telling(bad, n - bad, y.sum(), len(y) - y.sum())]
-    place = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
-    known_here = keys[place] == h if len(keys) else np.zeros(len(h), bool)
-    place, at = place[known_here], at[known_here]
+    at = np.concatenate([np.frombuffer(a, np.int64) + f for a, f in zip(out["at"], first)])
+    place = np.frombuffer(b"".join(out["place"]), np.int64)
     return _fit(y, first, at, place, keys, steps, l1)
 
 
-def _telling(bad: np.ndarray, good: np.ndarray, all_bad: float, all_good: float) -> np.ndarray:
+def _telling(bad: Column, good: Column, all_bad: float, all_good: float) -> Column:
     """Features that stand in toxic documents clearly more often than in others."""
     rest_bad, rest_good = all_bad - bad, all_good - good
     across = bad * rest_good - good * rest_bad
     scale = (bad + good) * (rest_bad + rest_good) * all_bad * all_good
-    chi = (all_bad + all_good) * across**2 / np.maximum(scale, 1e-9)
+    chi = (all_bad + all_good) * across * across / F.greatest(scale, F.lit(1e-9))
     return (chi > LEAST_CHI) & (bad * all_good > 3 * good * all_bad)
 
 
