@@ -61,3 +61,25 @@ def test_no_labels_empty_tables_repeated_keys(spark):
     assert all(r.score < 1e-9 for r in toxicity.score(docs, model).collect())
     assert toxicity.score(docs.where("false"), model).count() == 0
     assert docs.select(toxicity.held_out(F.col("doc_id")).alias("h")).where("doc_id is null").first().h
+
+
+def test_length_alone_is_not_toxic(spark):
+    weights = {key_of("scum"): 9.5, key_of("nice"): -1.0}
+    model = toxicity.Model(np.array(list(weights), np.uint64), np.array(list(weights.values())), toxicity.MOST_BIAS)
+    texts = ["a clean line\n" * 100_000, "a nice line\n" * 100_000, "a clean line\n" * 100_000 + "scum scum"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert [out[i].predicted for i in range(3)] == [0, 0, 1] and out[0].n_sentences == 100_001
+    assert sorted(r.doc_id for r in toxicity.drop_toxic(docs, model).collect()) == [0, 1]
+
+
+def test_training_counts_sentences_without_features_once():
+    keys = np.array([3], np.uint64)
+
+    def fit(length):
+        n = np.array([2, 2, length, length])
+        first = np.concatenate([[0], np.cumsum(n)])
+        return toxicity._fit(np.array([1.0, 1, 0, 0]), first, first[:2], np.zeros(2, np.int64), keys, 50, 4e-4)
+
+    short, long = fit(2), fit(50_000)
+    assert short.bias == long.bias and (short.weights == long.weights).all()

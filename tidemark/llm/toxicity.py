@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning: sentences are scored, labels are known for documents only.
 
 A sentence's probability is logistic in its words and word beginnings; a document's is the noisy-or
-of its sentences. Training follows the gradient of the documents' likelihood, so that the model itself
+of its sentences, where all those without evidence count as one. Training follows the gradient of the documents' likelihood, so that the model itself
 finds out which sentences offend.
 """
 
@@ -19,7 +19,7 @@ from tidemark.llm.words import END, Lookup, Words, blocks, closed
 from tidemark.session import stage
 
 HEADS = (4, 5, 6)  # word beginnings of so many bytes are features beside whole words
-# A sentence without evidence stays below this log-odds, so that length alone makes no document toxic.
+# All sentences without evidence count as one, which stays below this log-odds: length alone makes no document toxic.
 MOST_BIAS = -9.0
 # Chi-squared that a feature's excess in toxic rows must reach; of a million features none gets there by chance.
 LEAST_CHI = 24.0
@@ -154,9 +154,13 @@ def _fit(y, first, at, place, keys, steps, l1) -> Model:
     share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum()))
     of = np.repeat(np.arange(len(y)), np.diff(first))
     full = np.diff(first) > 0
+    # Sentences with a feature count each for itself; of the others the first of each document stands for all.
+    counts = np.bincount(at, minlength=first[-1]) > 0
+    bare = np.flatnonzero(~counts)
+    counts[bare[np.unique(of[bare], return_index=True)[1]]] = True
     for _ in range(steps):
         z = np.clip(b + np.bincount(at, w[place], first[-1]), -30, 30)
-        p = 1 / (1 + np.exp(-z))
+        p = counts / (1 + np.exp(-z))
         none = np.zeros(len(y))  # log of the chance that no sentence offends
         none[full] = np.add.reduceat(np.log1p(-np.minimum(p, 1 - 1e-9)), first[:-1][full])
         none = np.minimum(none, -1e-9)
@@ -176,7 +180,10 @@ def _fit(y, first, at, place, keys, steps, l1) -> Model:
 
 
 def _probabilities(s: Sentences, lookup: Lookup, bias: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of each sentence, and by noisy-or of each text."""
+    """Of each sentence, and by noisy-or of each text.
+
+    Sentences that no feature raises above the bias count together as the most probable of them.
+    """
     z = np.zeros(len(s.end))
     for f in s.features:
         weight = lookup(f)
@@ -184,7 +191,10 @@ def _probabilities(s: Sentences, lookup: Lookup, bias: float) -> tuple[np.ndarra
         z += np.bincount(s.sentence[hit], weight[hit], len(z))
     p = 1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))
     p[s.end - s.start <= 1] = 0  # nothing but its end
-    return p, -np.expm1(np.add.reduceat(np.log1p(-np.minimum(p, 1 - 1e-12)), s.first[:-1]))
+    log_none = np.log1p(-np.minimum(p, 1 - 1e-12))
+    raised = z > 0
+    each = np.add.reduceat(np.where(raised, log_none, 0), s.first[:-1])
+    return p, -np.expm1(each + np.minimum.reduceat(np.where(raised, 0, log_none), s.first[:-1]))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
