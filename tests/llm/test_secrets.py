@@ -1,6 +1,7 @@
 """The secret scan against Python's re, and its links against a search of all pairs."""
 
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -92,3 +93,27 @@ def test_repeated_rows_empty_table_and_redaction(spark):
     assert clean[8] == "[SECRET] near [SECRET]"
     again = secrets.scan(secrets.redact(rows(spark)))
     assert again.agg(F.sum(F.col("n_assign") + F.col("n_access") + F.col("n_hex"))).first()[0] == 0
+
+
+def test_links_of_long_parts_at_any_offset(spark):
+    rng = random.Random(4)
+    parts = [KEY, "Ab3/" * 10, "ab12" * 16, "ab12" * 300, "token=" + "x" * 100, "login: " + "b" * 700, "10.1.2.3", "https://" + "h" * 450]
+    texts = ["." * 189 + f" {KEY} " + "." * 192 + " " + "Ab3/" * 10]
+    for _ in range(150):
+        text = "~" * rng.randrange(400)
+        for _ in range(rng.randrange(2, 6)):
+            text += f" {rng.choice(parts)} " + "~" * rng.choice([0, 100, 190, rng.randrange(180, 215), rng.randrange(420)])
+        texts.append(text)
+    near = lambda a, b: b[0] <= a[2] + 200 and b[2] + 200 >= a[0]
+    got = {r.doc_id: r.spans for r in secrets.scan(rows(spark, texts), scope=200).collect()}
+    assert got[0].split(",")[-1].startswith("key40:")
+    for i, text in enumerate(texts):
+        found = [
+            (m.start(), kind, m.end()) for kind, pattern, group, least in secrets.STRONG + secrets.WEAK
+            for m in re.finditer(pattern, text) if len(m.group(group)) >= least
+        ]
+        want = [
+            f for f in found
+            if all(any(secrets.ROLES[g[1]] == need and near(f, g) for g in found) for need in secrets.NEEDS.get(f[1], ()))
+        ]
+        assert got[i] == ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(want, key=lambda f: (f[0], secrets.KINDS[f[1]])))

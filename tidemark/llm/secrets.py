@@ -75,28 +75,32 @@ def _linked(found: DataFrame, scope: int) -> DataFrame:
     """Weak spans that have their complements within ``scope``: (text key, spans).
 
     Blocks of ``scope`` characters turn the interval condition into an equality: a
-    part lies in its own block, a weak part asks in three. Semi joins keep one row
-    per weak part, however many complements stand around it.
+    weak part stands in every block that it touches, a complement in every block that
+    it reaches with ``scope`` characters on either side. Semi joins keep at most one
+    row per weak part and block, however many complements stand around it.
     """
-    parts = found.select("_key", F.explode(F.concat("_strong", "_weak")).alias("s")).select(
-        "_key", "s.*", F.floor(F.col("s.start") / scope).alias("_block")
-    )
+    def over(start: Column, end: Column) -> Column:
+        return F.explode(F.sequence(F.floor(start / scope), F.floor(end / scope)))
+
+    parts = found.select("_key", F.explode(F.concat("_strong", "_weak")).alias("s")).select("_key", "s.*")
     parts = parts.distinct()  # equal texts have equal parts
     role = F.create_map(*[F.lit(x) for kind, r in ROLES.items() for x in (KINDS[kind], r)])
     parts = parts.withColumn("_role", role[F.col("place")])
     out = []
     for kind, needs in NEEDS.items():
         weak = parts.where(F.col("place") == KINDS[kind])
-        for need in needs:
+        for place, need in enumerate(needs):
+            if place:
+                weak = weak.drop("_block").distinct()  # the complements may stand in different blocks
             near = parts.where(F.col("_role") == need).select(
                 F.col("_key").alias("k"), F.col("start").alias("a"), F.col("end").alias("b"),
-                F.explode(F.array(F.col("_block") - 1, F.col("_block"), F.col("_block") + 1)).alias("n"),
+                over(F.col("start") - scope, F.col("end") + scope).alias("n"),
             )
             within = (F.col("a") <= F.col("end") + scope) & (F.col("b") + scope >= F.col("start"))
             at = (F.col("_key") == F.col("k")) & (F.col("_block") == F.col("n"))
-            weak = weak.join(near, at & within, "left_semi")
+            weak = weak.withColumn("_block", over(F.col("start"), F.col("end"))).join(near, at & within, "left_semi")
         out.append(weak.select("_key", F.struct("start", "place", "end").alias("s")))
-    return reduce(DataFrame.unionByName, out).groupBy("_key").agg(F.collect_list("s").alias("_more"))
+    return reduce(DataFrame.unionByName, out).groupBy("_key").agg(F.collect_set("s").alias("_more"))
 
 
 def matches(docs: DataFrame, text: str = "text") -> DataFrame:
