@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from tokenizers import Tokenizer
 
+from corpus_pipeline import pack as pack_stage
 from tidemark.llm import packing
 from tidemark.llm.queries import op7_packing, table, tokenizer_path
 
@@ -84,3 +85,19 @@ def test_copies_meet_in_a_window():
     for d, _, _, sequence, _ in pieces:
         home[d % 40].add(sequence)
     assert np.mean([len(s) for s in home.values()]) < 1.5
+
+
+def test_queries_give_the_ids_of_tokenizers_at_its_defaults(spark, tmp_path):
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x  <|endoftext|>\n y", "<|endoftext|><|endoftext|> <|endoftext", "none"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for rows in (op7_packing(spark, str(tmp_path)), pack_stage(spark, docs, str(tmp_path))):
+        got = {}
+        for r in rows.collect():
+            got.setdefault(r.doc_id, []).append(r)
+        for i, text in enumerate(texts):
+            ids = np.array(plain.encode(text, add_special_tokens=False).ids + [1], "<u4")
+            assert sum(r.length for r in got[i]) == got[i][0].doc_tokens == len(ids)
+            for r in got[i]:
+                assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())

@@ -54,7 +54,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path(), added_tokens=True)
 
 
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
