@@ -101,3 +101,20 @@ def test_queries_give_the_ids_of_tokenizers_at_its_defaults(spark, tmp_path):
             assert sum(r.length for r in got[i]) == got[i][0].doc_tokens == len(ids)
             for r in got[i]:
                 assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+
+
+def test_neighbours_meet_across_the_corpus(spark):
+    common = "the day was long and the road went on over hills and fields "
+    texts = [f"{common * 3} topic{i % 100}word rare{i % 100}thing {common}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartitionByRange(8, "doc_id")
+    home = defaultdict(set)
+    for r in packing.pack(docs, tokenizer_path(), shard_bytes=20_000).collect():
+        home[r.doc_id % 100].add(r.sequence_id >> 33)
+    assert all(len(tasks) == 1 for tasks in home.values())
+
+
+def test_all_terms_of_the_seed_count():
+    docs = [np.array(x, np.uint32) for x in ([*range(20)], [*range(12)], [*range(12, 20)], [19, 30], [31, 32])]
+    index = packing.Index(docs)
+    assert set(index.neighbours(0, np.array([False, True, True, True, True])).tolist()) == {1, 2, 3}
+    assert len(index.neighbours(0, np.array([False, True, True, True, True]), most=1)) == 1

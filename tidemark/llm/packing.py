@@ -1,8 +1,9 @@
 """Packing documents into windows with lexically close neighbours.
 
-Each task cuts its rows into shards, indexes a shard's documents by BM25 and fills windows: a seed
-document is followed by the unused documents that its rarest terms retrieve, best first, and the last
-one is cut where the window ends. Nothing is shuffled; a lost task repeats its shards alike.
+Documents are first dealt by a rare word that they share with others anywhere in the corpus. Each task
+then cuts its rows into shards, indexes a shard's documents by BM25 and fills windows: a seed document
+is followed by the unused documents that its terms retrieve, best first, and the last one is cut where
+the window ends. Rows are sorted within their tasks, so a lost task repeats its shards alike.
 """
 
 from __future__ import annotations
@@ -17,7 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.words import Words, blocks, closed
+from tidemark.session import spread, stage
+
 END_OF_DOCUMENT = 1  # fixed value: the id that closes every document
+SKETCH_BITS = 20  # of the counters of words, 4 MB in every task whatever the corpus
+ROUTE_WORDS = 16  # words of a document, the rarest by the counters, that are counted exactly
+MOST_TOGETHER = 500  # documents of one route that are kept together; a larger group is split
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -70,20 +77,43 @@ class Index:
         self.terms = term[order]
         self.own = np.searchsorted(self.doc[order], np.arange(len(docs) + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray, n_terms: int) -> np.ndarray:
-        """Unused documents that share one of the seed's rarest shared terms, best first; ties by place."""
+        # Terms of an eighth of the documents and more are columns of a matrix.
+        self.hot = np.flatnonzero(df * 8 > len(docs))
+        self.column = np.full(len(terms), -1)
+        self.column[self.hot] = np.arange(len(self.hot))
+        self.dense = np.zeros((len(docs), len(self.hot)), np.float32)
+        column = self.column[term]
+        self.dense[self.doc[column >= 0], column[column >= 0]] = self.weight[column >= 0]
+
+    def neighbours(self, seed: int, unused: np.ndarray, n_terms: int | None = None, most: int | None = None) -> np.ndarray:
+        """Unused documents that share one of the seed's terms, best first; ties by place.
+
+        ``n_terms`` looks only the seed's rarest shared terms up. At least the best ``most`` are returned, where so many are found.
+        """
         terms = self.terms[self.own[seed] : self.own[seed + 1]]
         terms = terms[self.df[terms] > 1][:n_terms]
         if not len(terms):
             return terms
-        at = np.concatenate([np.arange(self.first[t], self.first[t] + self.df[t]) for t in terms])
-        at = at[unused[self.doc[at]]]
-        found, place = np.unique(self.doc[at], return_inverse=True)
-        score = np.bincount(place, self.weight[at], len(found))
+        column = self.column[terms]
+        score = np.zeros(len(unused))
+        if (column >= 0).any():
+            chosen = np.zeros(len(self.hot), np.float32)
+            chosen[column[column >= 0]] = 1
+            score += self.dense @ chosen
+        terms = terms[column < 0]
+        if len(terms):
+            size = self.df[terms]
+            at = np.arange(size.sum()) + np.repeat(self.first[terms] - np.cumsum(size) + size, size)
+            score += np.bincount(self.doc[at], self.weight[at], len(unused))
+        found = np.flatnonzero(unused & (score > 0))
+        score = score[found]
+        if most and len(found) > most:
+            best = score >= np.partition(score, len(score) - most)[len(score) - most]
+            found, score = found[best], score[best]
         return found[np.lexsort((found, -score))]
 
 
-def pack_shard(ids: list[np.ndarray], window: int, n_terms: int = 12) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(ids: list[np.ndarray], window: int, n_terms: int | None = None) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) that hold every id once.
 
     Whole windows of a long document stand alone; what is left of it is packed. All
@@ -113,7 +143,7 @@ def pack_shard(ids: list[np.ndarray], window: int, n_terms: int = 12) -> list[tu
                 break
         carried = None
         unused[seed] = False
-        queue = [seed, *index.neighbours(seed, unused, n_terms).tolist()]
+        queue = [seed, *index.neighbours(seed, unused, n_terms, window).tolist()]
         for d in queue:
             take = int(min(size[d] - left[d], window - filled))
             unused[d] = False
@@ -143,6 +173,68 @@ def pack_shard(ids: list[np.ndarray], window: int, n_terms: int = 12) -> list[tu
     return pieces
 
 
+def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts the words of each counter stand, of one task."""
+    n = np.zeros(1 << SKETCH_BITS, np.int64)
+    for block in blocks(batches, "text"):
+        words = Words(block.column("text"))
+        slot = (words.hashes() >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+        pairs = np.unique(words.text() << SKETCH_BITS | slot)
+        n += np.bincount(pairs & (1 << SKETCH_BITS) - 1, minlength=len(n))
+    slot = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(n[slot])], names=["slot", "n"])
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows (id, text) with those that share a rare word in one task, side by side.
+
+    Fixed counters of hashed words over the whole corpus name the words of each document
+    that may be rare; how many documents have each of those is then counted exactly, and a
+    document goes by the rarest that it shares. A group of more than ``MOST_TOGETHER``
+    documents is split. Documents that share none of them are spread. No row is lost.
+    Routes are kept by a hash of the text: equal texts have equal words.
+    """
+    spark = rows.sparkSession
+    rows = rows.withColumn("_row", F.xxhash64("text"))
+    bare = rows.select("_row", closed(F.col("text")).alias("text"))
+    counted = bare.select("text").mapInArrow(_counters, "slot int, n long").groupBy("slot")
+    counted = counted.agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
+    n = np.zeros(1 << SKETCH_BITS, np.int32)
+    n[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    counters = spark.sparkContext.broadcast(n)
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = counters.value
+        for block in blocks(batches, "text"):
+            words = Words(block.column("text"))
+            h, text = words.hashes(), words.text()
+            df = n[h >> np.uint64(64 - SKETCH_BITS)]
+            h, text, df = h[df > 1], text[df > 1], df[df > 1]
+            # Texts of a block, counts and hashes in one number: the rarest first in each text, equal words side by side.
+            rank = text.astype(np.uint64) << np.uint64(43) | np.minimum(df, (1 << 15) - 1).astype(np.uint64) << np.uint64(28)
+            order = np.argsort(rank | h >> np.uint64(36))
+            h, text = h[order], text[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+            h, text = h[new], text[new]
+            place = np.arange(len(h)) - np.searchsorted(text, text)
+            keep = place < ROUTE_WORDS
+            yield pa.RecordBatch.from_arrays(
+                [block.column("_row").take(pa.array(text[keep])), pa.array(h[keep].view(np.int64))], names=["_row", "h"]
+            )
+
+    words = stage(bare.mapInArrow(rare, "_row long, h long"), "packing-words")
+    shared = words.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    routes = words.join(shared, "h").groupBy("_row").agg(F.min(F.struct("df", "h")).alias("_by"))
+    # Without a route a row is a group of its own.
+    pieces = F.ceil(F.col("_by.df") / MOST_TOGETHER)
+    routed = rows.join(routes, "_row", "left").select(
+        "id", "text", "_row", F.coalesce("_by.h", F.xxhash64("id", "text")).alias("_route"),
+        F.coalesce(F.pmod(F.xxhash64("id", "text"), pieces), F.lit(0)).alias("_piece"),
+    )
+    return spread(routed, "_route", "_piece").sortWithinPartitions("_route", "_piece", "_row", "id").select("id", "text")
+
+
 def pack(
     docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", window: int = 2048, shard_bytes: int = 4 << 20,
     added_tokens: bool = False,
@@ -152,7 +244,7 @@ def pack(
     ``tokenizer`` is the path of the vocabulary, readable where tasks run. Null and empty texts have the closing
     id alone. Repeated rows are packed each for itself; other columns are ignored.
     ``shard_bytes`` of text, or one longer document, make a shard: it bounds a task's
-    memory and how far neighbours are looked for, and drops nothing. Sequence numbers
+    memory, and drops nothing; ``dealt`` brings neighbours together before. Sequence numbers
     start at the partition's number times 2**33. ``added_tokens`` as in ``byte_bpe``.
     """
 
@@ -195,4 +287,4 @@ def pack(
 
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, {SCHEMA}").withColumnRenamed("id", key)
+    return dealt(rows).mapInArrow(run, f"id {kind}, {SCHEMA}").withColumnRenamed("id", key)
