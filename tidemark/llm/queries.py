@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, filteraudit, licences, nearcopies, packing, repeats, secrets, toxicity, urls, vectors, warc
+from tidemark.llm import collocations, contamination, filteraudit, licences, nearcopies, packing, repeats, secrets, toxicity, urls, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,10 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filteraudit.audit(spark, f"{folder}/documents.parquet", table(spark, folder, "labels"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_license_scan": op2_license_scan,
@@ -89,10 +93,12 @@ QUERIES: dict[str, Query] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": contamination.ORACLE,
     "op6_warc": warc.ORACLE,
     "op11_filter_audit": filteraudit.ORACLE,
+    "op12_collocations": collocations.ORACLE,
 }
