@@ -2,13 +2,14 @@
 
 A stream reads the documents in micro-batches. Four filters judge a text alone; the fifth, exact
 copies, depends on the least id that a text has been seen with, which is the state of a stateful
-operator keyed by the text's SHA-256. A smaller id that comes later takes the place of the one
+operator, kept by the texts' SHA-256 in buckets of it. A smaller id that comes later takes the place of the one
 before: the earlier holder's mask is retracted from the counters of its part and added again as a
 copy. Counters per part and mask hold all that the report needs, for any order of the filters.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from functools import reduce
 from itertools import permutations
@@ -26,6 +27,7 @@ FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
 _NO_ID = 2 * COPY  # beside the mask of a row without an id, which travels with an id of 0: pandas has no whole numbers with gaps
 _COMBINED = 50_000  # rows that a task combines at once
+_BUCKETS = 16  # groups of texts per shuffle partition, each with one state: a state of its own for every text costs milliseconds a text
 
 
 def mask(text: Column) -> Column:
@@ -42,62 +44,58 @@ def mask(text: Column) -> Column:
     return bits + shouting + F.when(text.rlike("[#$%&*|]"), 8).otherwise(0)
 
 
-def _least_first(spread: int):
+def _least_first(buckets: int):
     """Of the rows of one text in a chunk only those of the least id go to the text's state; the others are copies for certain.
 
-    Rows without an id are nobody's copy. Both kinds of settled rows travel under ``spread`` keys of their own.
+    Rows without an id are nobody's copy. Settled rows of both kinds are dealt over all buckets in turn.
     """
 
-    def emit(rows: list[pa.RecordBatch], chunk: int) -> pa.RecordBatch:
+    def emit(rows: list[pa.RecordBatch], turn: int) -> pa.RecordBatch:
         df = pa.Table.from_batches(rows).to_pandas(types_mapper=pd.ArrowDtype)
-        df = df.groupby(["key", "id", "part", "mask"], sort=False, as_index=False)["n"].sum()
+        df = df.groupby(["bucket", "key", "id", "part", "mask"], sort=False, as_index=False)["n"].sum()
         known = df["mask"] < _NO_ID
         copies = known & (df["id"] > df["id"].where(known).groupby(df["key"]).transform("min")).fillna(False)
-        settled = copies | ~known
+        df["settled"] = (copies | ~known).astype(bool)
         df.loc[copies, "mask"] += COPY
-        if settled.any():
-            lanes = (np.arange(int(settled.sum())) + chunk * 7919) % spread
-            df.loc[settled, "key"] = pd.array([b"%d" % lane for lane in lanes], dtype=pd.ArrowDtype(pa.binary()))
-        df["settled"] = settled.astype(bool)
+        df.loc[df["settled"], "bucket"] = (np.arange(int(df["settled"].sum())) + turn) % buckets
         return pa.RecordBatch.from_pandas(df, preserve_index=False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, chunk = [], 0, hash(id(batches)) & 0xFFFF
+        held, n, turn = [], 0, id(batches) >> 4
         for batch in batches:
             held, n = [*held, batch], n + batch.num_rows
             if n >= _COMBINED:
-                yield emit(held, chunk)
-                held, n, chunk = [], 0, chunk + 1
+                yield emit(held, turn)
+                held, n, turn = [], 0, turn + n
         if n:
-            yield emit(held, chunk)
+            yield emit(held, turn)
 
     return run
 
 
 def _hold(_, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Changes (id, part, mask, n) that the rows of one text bring, beside what its state holds.
+    """Changes (id, part, mask, n) that rows bring to the texts of a bucket.
 
-    State: the least id so far, the text's own mask, and how many rows of that id stand in each part.
+    State: for each text its least id so far, and how many rows of that id stand in each part.
     """
-    least, own, held = state.get if state.exists else (None, 0, [])
-    held, out, changed = dict(map(tuple, held)), [], False
+    texts, changed = pickle.loads(state.get[0]) if state.exists else {}, False
     for df in frames:
-        if df["settled"].iat[0]:
-            yield df[["id", "part", "mask", "n"]]
-            continue
-        for id_, part, own, n in zip(df["id"], df["part"], df["mask"], df["n"]):
-            if least is not None and id_ > least:
-                out.append((id_, part, own + COPY, n))
+        out = []
+        for settled, text, id_, part, own, n in zip(*(df[c].tolist() for c in ("settled", "key", "id", "part", "mask", "n"))):
+            least, held = (None, {}) if settled else texts.get(text, (None, {}))
+            if settled or (least is not None and id_ > least):
+                out.append((id_, part, own if settled else own + COPY, n))
                 continue
-            if least is None or id_ < least:
-                out += [(least, p, m, k) for p, c in held.items() for m, k in ((own, -c), (own + COPY, c))]
-                least, held = id_, {}
-            held[part], changed = held.get(part, 0) + n, True
+            if least != id_:
+                for p, c in held.items():
+                    out += [(least, p, own, -c), (least, p, own + COPY, c)]
+                held = {}
+            held[part] = held.get(part, 0) + n
+            texts[text], changed = (id_, held), True
             out.append((id_, part, own, n))
-    if changed:
-        state.update((least, int(own), [(p, int(c)) for p, c in held.items()]))
-    if out:
         yield pd.DataFrame(out, columns=["id", "part", "mask", "n"])
+    if changed:
+        state.update((pickle.dumps(texts),))
 
 
 def changes(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:
@@ -113,11 +111,13 @@ def changes(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str
         F.unhex(F.sha2(F.col("t"), 256)).alias("key"), F.coalesce("id", F.lit(0).cast(id_type)).alias("id"), "part",
         (mask(F.col("t")) + no_id).alias("mask"), F.lit(1).cast("long").alias("n"),
     )
-    lanes = 4 * int(session.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _BUCKETS * int(session.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "*")
     combined = T.StructType([*rows.schema.fields, T.StructField("settled", T.BooleanType())])
-    state = f"least {id_type.simpleString()}, own int, held array<struct<part:string,n:bigint>>"
     out = f"id {id_type.simpleString()}, part string, mask int, n long"
-    return rows.mapInArrow(_least_first(lanes), combined).groupBy("key").applyInPandasWithState(_hold, out, state, "update", "NoTimeout")
+    return rows.mapInArrow(_least_first(buckets), combined).groupBy("bucket").applyInPandasWithState(
+        _hold, out, "texts binary", "update", "NoTimeout"
+    )
 
 
 def flags(labels: DataFrame, key: str = "doc_id") -> DataFrame:
