@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import collocations, contamination, filteraudit, licences, nearcopies, packing, repeats, secrets, toxicity, urls, vectors, warc
+from tidemark.llm import (
+    collocations, contamination, filteraudit, licences, nearcopies, packing, quality, repeats, secrets, toxicity, urls, vectors, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +83,12 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_chunks")
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_license_scan": op2_license_scan,
@@ -94,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
     "op12_collocations": op12_collocations,
+    "op13_quality": op13_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
