@@ -42,15 +42,19 @@ def path_of(url: Column) -> Column:
 
 
 def ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4, 5)) -> Column:
-    """Character n-grams of ``^host$path``, as an array; linear in the length of the URL."""
-    chars = F.split(F.concat(F.lit("^"), host, F.lit("$"), path), "")
+    """Character n-grams of ``^host$path``, as an array; linear in the length of the URL.
 
-    def of(n: int) -> Column:
+    The characters are bound to a variable, as the element of an array of one: they are split
+    once for the whole URL, where an expression inside the function of a gram would be split again for each.
+    """
+    whole = F.array(F.split(F.concat(F.lit("^"), host, F.lit("$"), path), ""))
+
+    def of(chars: Column, n: int) -> Column:
         last = F.size(chars) - n
         start = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
         return F.transform(start, lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)]))
 
-    return F.concat(*[of(n) for n in sizes])
+    return F.transform(whole, lambda chars: F.concat(*[of(chars, n) for n in sizes]))[0]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
