@@ -111,10 +111,27 @@ def test_choose_by_hash_keeps_equal_rows(spark, n):
     assert rows(grid, "id", "place") == [(i, p) for i in range(20) for p in range(100, 100 + n)]
 
 
-def test_too_many_candidates_end_the_query(spark, monkeypatch):
-    monkeypatch.setattr(joins, "MOST_CANDIDATES", 3)
-    with pytest.raises(Exception, match="more than 3 candidates"):
-        joins.with_every(spark.range(2), spark.range(4).withColumnRenamed("id", "p"), "p").collect()
+def test_more_candidates_than_one_page(spark, monkeypatch):
+    items = spark.range(40).withColumn("note", F.lit("n"))
+    items = items.unionByName(items)
+    places = spark.range(100, 131).withColumnRenamed("id", "place")
+    one = rows(joins.choose_by_hash(items, "id", places, "place").select("id", "place"), "id")
+    grid = rows(joins.with_every(items.select("id"), places, "place"), "id", "place")
+    monkeypatch.setattr(joins, "MOST_CANDIDATES", 4)
+    got = joins.choose_by_hash(items, "id", places.unionByName(places), "place")
+    assert got.columns == ["id", "note", "place"] and rows(got.select("id", "place"), "id") == one
+    assert rows(joins.with_every(items.select("id"), places, "place"), "id", "place") == grid
+    assert joins.with_every(items, places.where("false"), "place").count() == 0
+
+
+def test_150_000_candidates(spark):
+    import hashlib
+
+    places = spark.range(150_000).withColumnRenamed("id", "place")
+    got = joins.choose_by_hash(spark.createDataFrame([(7,), (7,)], "id long"), "id", places, "place").collect()
+    want = min((hashlib.md5(f"7|{p}".encode()).hexdigest()[:8], p) for p in range(150_000))[1]
+    assert [r.place for r in got] == [want, want]
+    assert joins.with_every(spark.range(2), places, "place").distinct().count() == 300_000
 
 
 def test_numbers_have_no_gaps(spark):

@@ -8,5 +8,5 @@ from tidemark.functions.dates import (  # noqa: F401
     weeks_crossed,
     years_crossed,
 )
-from tidemark.functions.hashing import hash_bucket, stable_hash  # noqa: F401
+from tidemark.functions.hashing import hash_bucket, stable_digits, stable_hash  # noqa: F401
 from tidemark.functions.numeric import div0, exact_avg, to_double  # noqa: F401

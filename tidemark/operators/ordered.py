@@ -63,23 +63,32 @@ def running_sum(
     )
 
 
-def numbered(df: DataFrame, out: str, coarse: Column, block: Column, order: list[Column], copies: str | None = None) -> DataFrame:
+def numbered(
+    df: DataFrame, out: str, coarse: Column, block: Column, order: list[Column], copies: str | None = None, every: bool = False
+) -> DataFrame:
     """Number the rows from 1 without gaps, in the order of ``coarse``, ``block`` and ``order``.
 
-    Two levels of totals: only one row per ``coarse`` value is put in one order,
-    then the blocks of each, then the rows of a block. ``copies`` names a column
-    that says how many numbers a row takes; ``out`` is the last of them.
+    One range shuffle brings the rows into order, and each task numbers its own; what is put in
+    one order beyond that is a total per task, never per key. The order must tell unequal rows apart.
+    ``copies`` names a column that says how many numbers a row takes; ``out`` is the last of
+    them, or with ``every`` the row comes out once for each. The rows are staged.
     """
-    rows = df.withColumns({"_coarse": coarse, "_copies": F.lit(1) if copies is None else F.col(copies)})
-    before = rows.groupBy("_coarse").agg(F.sum("_copies").alias("_n"))
-    upto = Window.orderBy(F.col("_coarse").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    before = before.select(F.struct("_coarse").alias("_in"), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_offset"))
-    within = running_sum(rows, "_copies", "_within", ["_coarse"], block, order)
-    return (
-        within.join(before, F.struct("_coarse") == F.col("_in"))
-        .withColumn(out, F.col("_offset") + F.col("_within"))
-        .select(*df.columns, out)
-    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [coarse.asc_nulls_last(), block.asc_nulls_last(), *order]
+    rows = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    if copies is not None:
+        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies).cast("long"))))
+    # The number of the task above 33 bits, and the row's place in it below.
+    rows = stage(rows.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    task, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    upto = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    before = before.select("_task", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_offset"))
+    # At most one total per shuffle partition, so it is safe to give them to every task.
+    listed = before.agg(F.map_from_entries(F.collect_list(F.struct("_task", "_offset"))).alias("m"))
+    if copies is not None and not every:
+        rows = rows.where(F.col("_copy") == F.col(copies))
+    return rows.withColumn(out, listed.scalar()[task] + place + 1).select(*df.columns, out)
 
 
 def rank_ascending(df: DataFrame, value: str, out: str) -> DataFrame:

@@ -80,6 +80,25 @@ def current_stock_levels(fact: DataFrame) -> DataFrame:
     )
 
 
+def planned_stock_levels(movements: DataFrame, products: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """The stock levels of a fact that is not stored: all its rows show the attributes of today.
+
+    No movement need be known as the latest one then, so movements need no ids, and
+    attributes join the totals instead of every movement.
+    """
+    product = products.select("product_id", "product_name", "category_name")
+    warehouse = warehouses.select("warehouse_id", "warehouse_name", F.col("state").alias("warehouse_state"))
+    return (
+        stock_totals(movements)
+        .join(product, "product_id", "left")
+        .join(warehouse, "warehouse_id", "left")
+        .select(
+            "product_id", "product_name", "category_name", "warehouse_id", "warehouse_name", "warehouse_state",
+            "as_of_date", "current_stock",
+        )
+    )
+
+
 def sales_velocity(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Units sold per day between a product's first and last order, any status."""
     span = days_between(F.min("order_date"), F.max("order_date")) + 1

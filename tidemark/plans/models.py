@@ -82,6 +82,11 @@ class Models:
     def stg_stock_movements(self) -> DataFrame:
         return staging.stock_movements(self.raw.stock_movements, loaded=self.loaded)
 
+    @cached_property
+    def stock_lines(self) -> DataFrame:
+        """Staged movements for models that do not use their ids; cheaper where the source makes the ids."""
+        return staging.stock_movements(getattr(self.raw, "stock_lines", self.raw.stock_movements))
+
     @cached_property
     def stg_warehouses(self) -> DataFrame:
         return staging.warehouses(self.raw.warehouses, loaded=self.loaded)
@@ -137,7 +142,9 @@ class Models:
 
     @cached_property
     def rpt_current_stock_levels(self) -> DataFrame:
-        return inventory.current_stock_levels(self.fact_stock_movements)
+        if "fact_stock_movements" in self._stored:
+            return inventory.current_stock_levels(self.fact_stock_movements)
+        return inventory.planned_stock_levels(self.stock_lines, self.stg_products, self.stg_warehouses)
 
     @cached_property
     def sales_velocity(self) -> DataFrame:

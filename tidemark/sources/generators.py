@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import add_weeks, hash_bucket, stable_hash, week_start, weeks_crossed
 from tidemark.operators.joins import choose_by_hash, interval_join, with_every
 from tidemark.operators.ordered import numbered, running_sum
-from tidemark.session import spread
+from tidemark.session import spread, stage
 
 # Cost per click in cents and clicks per thousand impressions by channel.
 COST_PER_CLICK = {
@@ -138,15 +138,12 @@ def restock_grid(products: DataFrame, warehouses: DataFrame) -> DataFrame:
     )
 
 
-def stock_movements(
+def ledger(
     products: DataFrame, warehouses: DataFrame, items: DataFrame, orders: DataFrame, first_restock: date
 ) -> DataFrame:
-    """The ledger: restocks, their occasional corrections, and one sale per order item.
+    """Restocks, their occasional corrections, and one sale per order item, without ids.
 
-    Ids number the ledger by date, so that a later load has the greater ids; within
-    a date by type, then the product or order item a row comes from, and warehouse.
-    Days, and ranges of products or items within a day, are put in order by their
-    totals.
+    ``_source`` is the product or order item a row comes from.
     """
     grid = restock_grid(products, warehouses)
     cell = [F.col("product_id"), F.col("warehouse_id"), F.col("_cycle")]
@@ -173,7 +170,14 @@ def stock_movements(
         choose_by_hash(sold, "order_item_id", warehouses, "warehouse_id"),
         F.col("order_item_id"), F.col("order_date"), F.lit("sale"), -F.col("quantity"),
     )
-    ledger = restocks.unionByName(corrections).unionByName(sales)
-    block = F.struct("movement_type", F.expr("floor(_source / 100000)"))
-    order = [F.col("movement_type"), F.col("_source"), F.col("warehouse_id")]
-    return numbered(ledger, "movement_id", F.col("movement_date"), block, order)
+    return restocks.unionByName(corrections).unionByName(sales)
+
+
+def stock_movements(rows: DataFrame) -> DataFrame:
+    """The ledger with ids by date, so that a later load has the greater ids; within a date by type, source and warehouse.
+
+    Staged first, as the range shuffle reads its rows twice, once to sample them.
+    """
+    rows = stage(rows, "ledger")
+    order = [F.col("_source"), F.col("warehouse_id"), F.col("product_id"), F.col("quantity_change")]
+    return numbered(rows, "movement_id", F.col("movement_date"), F.col("movement_type"), order)

@@ -168,17 +168,15 @@ class SampleTables:
         """Line items, numbered in the order of all the columns used.
 
         The given line numbers repeat within an order. Equal lines are counted first
-        and take as many numbers as they are; orders in groups, and the parts of an
-        order in groups, are numbered by their totals, so a hot order or part is
-        never put in order as a whole.
+        and take as many numbers as they are, so that a hot order, part or line is
+        no more than its unlike rows when they are put in order.
         """
         used = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
         equal = self.given("lineitem").groupBy(*used).agg(F.count(F.lit(1)).alias("_n"))
-        last = numbered(
-            equal, "_last", F.expr("l_orderkey div 4096"), F.struct("l_orderkey", F.expr("l_partkey div 1000")),
-            [F.col(c) for c in used], "_n",
+        items = numbered(
+            equal, "_item", F.col("l_orderkey"), F.col("l_partkey"), [F.col(c) for c in used[2:]], "_n", every=True
         )
-        return self._lines(last, "explode(sequence(_last - _n + 1, _last))")
+        return self._lines(items, "_item")
 
     @cached_property
     def order_lines(self) -> DataFrame:
@@ -258,11 +256,14 @@ class SampleTables:
             generators.order_attribution(self.orders, self.campaigns, self.as_of), "order_attribution"
         )
 
+    def _ledger(self) -> DataFrame:
+        return generators.ledger(self.products, self.warehouses, self.order_items, self.orders, FIRST_RESTOCK)
+
     @cached_property
     def stock_movements(self) -> DataFrame:
-        return conform(
-            generators.stock_movements(
-                self.products, self.warehouses, self.order_items, self.orders, FIRST_RESTOCK
-            ),
-            "stock_movements",
-        )
+        return conform(generators.stock_movements(self._ledger()), "stock_movements")
+
+    @cached_property
+    def stock_lines(self) -> DataFrame:
+        """The ledger without its ids, for sums that need no order of movements."""
+        return conform(self._ledger().withColumn("movement_id", F.lit(None).cast("long")), "stock_movements")
