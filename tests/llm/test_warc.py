@@ -1,10 +1,13 @@
 """Archives: exact round trip, revisits, the order of the merged index."""
 
 import gzip
+import zlib
 import hashlib
 import random
 from pathlib import Path
 
+import pytest
+
 from tidemark.llm import warc
 
 BODY = "<p>é\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n</p>" * 5
@@ -62,3 +65,21 @@ def test_parsing_piece_by_piece():
     whole = list(warc.parse([raw]))
     assert [len(b) for *_, b in whole] == [0, 5, 70] and whole[1][0] == whole[0][1]
     assert list(warc.parse(raw[i : i + 1] for i in range(len(raw)))) == whole
+
+
+def test_archives_of_many_members(spark, tmp_path):
+    path = str(tmp_path / "archives")
+    warc.write(frame(spark), path, records_per_file=100)
+    raw = b"".join(gzip.decompress(f.read_bytes()) for f in sorted(Path(path).glob("*.gz")))
+    records = [raw[at : at + n] for at, n, _, _ in warc.parse([raw])]
+    (tmp_path / "members").mkdir()
+    (tmp_path / "members" / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records)) + b"\0" * 7)
+    (tmp_path / "members" / "b.warc.gz").write_bytes(gzip.compress(records[0]) + gzip.compress(b"") + gzip.compress(records[1] + records[2]))
+    index = warc.read_index(spark, str(tmp_path / "members")).collect()
+    assert len(index) == len(PAGES) + 3
+    whole = b"".join(map(gzip.compress, records))
+    for size in (1, 100, 1 << 20):
+        assert b"".join(warc.unpacked(whole, size)) == raw
+    assert b"".join(warc.unpacked(b"")) == b""
+    with pytest.raises((ValueError, zlib.error)):
+        b"".join(warc.unpacked(whole[:-9]))

@@ -127,12 +127,18 @@ def parse(chunks: Iterable[bytes]) -> Iterator[tuple[int, int, dict[str, str], b
 
 
 def unpacked(content: bytes, size: int = 1 << 20) -> Iterator[bytes]:
-    """A gzip file's content in pieces."""
-    state = zlib.decompressobj(31)
+    """A gzip file's content in pieces: of all its members, as most archives have one for each record."""
     rest = content
-    while rest and not state.eof:
-        yield state.decompress(rest, size)
-        rest = state.unconsumed_tail
+    while rest:
+        state = zlib.decompressobj(31)
+        while not state.eof:
+            if not rest:
+                raise ValueError("archive cut short")
+            yield state.decompress(rest, size)
+            rest = state.unconsumed_tail
+            if not rest and not state.eof:
+                yield state.flush()
+        rest = state.unused_data.lstrip(b"\0")
 
 
 def _run(file: str, content: bytes) -> list[tuple]:
