@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
 from tidemark.llm.queries import op1_suffix_dedup, table
@@ -62,6 +63,17 @@ def test_planted_repeats(spark, limits):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in out.collect())
 
 
+def test_texts_of_one_key_with_equal_32_bit_hashes(spark):
+    """Two texts that Spark's hash cannot tell apart, found among many, are two texts."""
+    rng = random.Random(11)
+    head = "".join(rng.choice("abcdefgh") for _ in range(60))
+    texts = spark.range(400_000).selectExpr("id", f"concat(substr(sha2(cast(id as string), 256), 1, 40), '{head}', substr(sha2(cast(-id as string), 256), 1, 52)) as t")
+    pairs = texts.groupBy(texts.t.substr(1, 0), F.hash("t").alias("h")).agg(F.collect_list("t").alias("ts")).where("size(ts) > 1")
+    a, b = pairs.first().ts[:2]
+    docs = [(1, b), (64, a), (64, b)]
+    assert rows(repeats.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"))) == sorted(brute(docs), key=str)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove_repeats(df).count() == 0

@@ -31,10 +31,10 @@ _WINDOW = LENGTH - PIECE + 1  # pieces in a window
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 24) - 1)
 # A span of content: anchor hash, content hash, document, variant, start, bytes, whether its anchor is spread.
-SPAN = np.dtype([("h", "<u8"), ("t", "<u8"), ("doc", "<i8"), ("v", "<i4"), ("s", "<i4"), ("n", "u1"), ("spread", "?")])
-PART = "to int, doc long, v int, a long, b long, spans binary"
-FOUND = "doc long, v int, a long, b long, shard long, cross boolean"
-WINDOWS = "doc long, v int, a long, b long, k1 long, k2 long, shard long"
+SPAN = np.dtype([("h", "<u8"), ("t", "<u8"), ("doc", "<i8"), ("v", "<i8"), ("s", "<i4"), ("n", "u1"), ("spread", "?")])
+PART = "to int, doc long, v long, a long, b long, spans binary"
+FOUND = "doc long, v long, a long, b long, shard long, cross boolean"
+WINDOWS = "doc long, v long, a long, b long, k1 long, k2 long, shard long"
 
 
 def _piece_hashes(eights: np.ndarray) -> np.ndarray:
@@ -307,7 +307,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = first[np.searchsorted(merged, k[run])]
         later = run[(doc[run] != doc[head]) | (a[run] != a[head])]
         if len(later):
-            yield _intervals("doc long, v int, a long, b long", doc[later], v[later], a[later], a[later] + LENGTH)
+            yield _intervals("doc long, v long, a long, b long", doc[later], v[later], a[later], a[later] + LENGTH)
 
 
 def _remove(keep_text: bool):
@@ -364,12 +364,15 @@ def remove_repeats(
     last = (1 << 63) - 1
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     rows = rows.withColumn("doc", F.coalesce(F.col("id").cast("long"), F.lit(last)))
-    again = rows.groupBy("doc").count().where("count > 1").select("doc", F.lit(True).alias("again"))
-    variant: Column = F.lit(0)
+    again = rows.groupBy("doc").count().where("count > 1").select("doc")
+    variant: Column = F.lit(0).cast("long")
     if not again.isEmpty():
-        # The texts of a repeated key are told apart.
-        rows = rows.join(again, "doc", "left")
-        variant = F.when(F.col("again"), F.hash("text")).otherwise(0)
+        # The texts of a repeated key are told apart by a number for each, its digest being the key it is found by.
+        rows = rows.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+        texts = rows.join(again, "doc", "left_semi").select("doc", "digest").distinct()
+        texts = stage(texts.withColumn("number", F.monotonically_increasing_id() + 1), "repeat-texts")
+        rows = rows.join(texts, ["doc", "digest"], "left")
+        variant = F.coalesce("number", variant)
     rows = rows.select("id", "doc", variant.alias("v"), closed(F.col("text"), lower=False).alias("text"))
 
     cut = rows.select("doc", "v", "text").mapInArrow(_cut(8 * parts, chunk, many), PART)
@@ -378,10 +381,10 @@ def remove_repeats(
     span = F.struct("a", "b", "shard", "cross")
     asked = found.where("shard is not null").groupBy("doc", "v").agg(F.collect_list(span).alias("spans"))
     slices = rows.select("doc", "v", "text").dropDuplicates(["doc", "v"]) if not again.isEmpty() else rows.select("doc", "v", "text")
-    slices = slices.join(asked, ["doc", "v"]).mapInArrow(_slices, "shard long, doc long, v int, a long, cross boolean, bytes binary")
+    slices = slices.join(asked, ["doc", "v"]).mapInArrow(_slices, "shard long, doc long, v long, a long, cross boolean, bytes binary")
     windows = stage(slices.repartition(parts, "shard").mapInArrow(_compare(), WINDOWS), "repeat-windows")
     open_windows = windows.where("k1 is not null").repartitionByRange(parts, "k1", "k2")
-    merged = open_windows.mapInArrow(_merge, "doc long, v int, a long, b long")
+    merged = open_windows.mapInArrow(_merge, "doc long, v long, a long, b long")
 
     cover = ["doc", "v", "a", "b"]
     gone = found.where("shard is null").select(*cover)
