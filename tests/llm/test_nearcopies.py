@@ -98,3 +98,13 @@ def test_estimates_are_unbiased():
     got = (sign[::2] == sign[1::2]).mean(1)
     error = (got - truth) / np.sqrt(np.maximum(np.array(truth) * (1 - np.array(truth)), 1e-9) / 1024 + 1e-9)
     assert np.abs(error).max() < 4.5 and abs(error.mean()) < 0.5
+
+
+def test_a_repeated_key_with_unlike_texts_keeps_all_links(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    x, y = [word() for _ in range(80)], [word() for _ in range(80)]
+    docs = [(5, " ".join(x)), (5, " ".join(y)), (6, " ".join([*x[:-3], "other"])), (7, " ".join([*y[:-3], "else"])), (8, "apart from all of these")]
+    assert similarity(bag(docs[0][1]), bag(docs[2][1])) >= 0.8 <= similarity(bag(docs[1][1]), bag(docs[3][1]))
+    out = nearcopies.near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id) for r in out) == [(5, 5), (5, 5), (6, 5), (7, 5), (8, 8)]

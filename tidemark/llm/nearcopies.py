@@ -232,7 +232,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     classes = signed.groupBy("c1", "c2").agg(
         F.min(F.struct("id", "place")).alias("rep"), F.first("bands").alias("bands"), F.first("prints").alias("prints")
     )
-    classes = stage(classes.select("c1", "c2", "rep.*", "bands", "prints"), "bag-classes")
+    # A class is a node of its own, by a number: a key whose texts differ stands for several classes.
+    classes = classes.select("c1", "c2", F.col("rep.id").alias("doc"), "rep.place", "bands", "prints")
+    classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "bag-classes")
 
     buckets = classes.select("id", F.posexplode("bands").alias("band", "bucket"))
     # Members' order differs between groups of bands, and with it the leader.
@@ -241,7 +243,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     members = stage(buckets.join(shared.select("band", "bucket", "m.leader"), ["band", "bucket"]), "bag-buckets")
     stars = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
 
-    prints = classes.select("id", "prints").dropDuplicates(["id"])
+    prints = classes.select("id", "prints")
     least = REGISTERS * threshold - deviations * (REGISTERS * threshold * (1 - threshold)) ** 0.5
     estimated = (
         stars.join(prints.select(F.col("id").alias("a"), F.col("prints").alias("p")), "a")
@@ -252,8 +254,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     estimated = stage(estimated, "bag-stars")
 
     # Everything that may have to be compared exactly, read from the corpus once.
-    wanted = members.select("id").distinct().join(classes.select("id", "place"), "id")
-    texts = keyed.join(wanted, ["id", "place"]).dropDuplicates(["id"]).select("id", closed(F.col("text")).alias("text"))
+    wanted = members.select("id").distinct().join(classes.select("id", "doc", "place"), "id")
+    texts = keyed.select(F.col("id").alias("doc"), "place", "text").join(wanted, ["doc", "place"])
+    texts = texts.dropDuplicates(["id"]).select("id", closed(F.col("text")).alias("text"))
     texts = stage(texts, "bag-texts")
 
     best = estimated.groupBy("b").agg(F.min(F.struct((-F.col("agree")).alias("order"), "a")).alias("x")).select("x.a", "b")
@@ -279,7 +282,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     links = links.unionByName(stage(exact, "bag-links"))
 
     of = components(links)
-    named = classes.select("c1", "c2", "id").join(component("id"), "id", "left").withColumn("class_id", F.coalesce("of_id", "id"))
+    named = classes.select("c1", "c2", "id", "doc").join(component("id"), "id", "left").withColumn("of", F.coalesce("of_id", "id"))
+    least_key = named.groupBy("of").agg(F.min("doc").alias("class_id"))
+    named = named.join(least_key, "of")
     ids = signed.select(F.col("id").alias("doc"), "c1", "c2").join(named.select("c1", "c2", "class_id"), ["c1", "c2"])
     ids = ids.groupBy("doc").agg(F.min("class_id").alias("class_id"))
     out = rows.join(ids, F.col("id") == F.col("doc"), "left").select(F.col("id").alias(key), F.coalesce("class_id", "id").alias("class_id"))
