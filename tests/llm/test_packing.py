@@ -118,3 +118,15 @@ def test_all_terms_of_the_seed_count():
     index = packing.Index(docs)
     assert set(index.neighbours(0, np.array([False, True, True, True, True])).tolist()) == {1, 2, 3}
     assert len(index.neighbours(0, np.array([False, True, True, True, True]), most=1)) == 1
+
+
+def test_a_shrunk_index_answers_the_same():
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, rng.choice([9, 60, 900]), rng.integers(1, 80)) for _ in range(160)]
+    whole, small, unused = packing.Index(docs), packing.Index(docs), np.ones(160, bool)
+    for seed in rng.permutation(160):
+        unused[seed] = False
+        if rng.random() < 0.1:
+            small.shrink(unused)
+        assert small.neighbours(seed, unused).tolist() == whole.neighbours(seed, unused).tolist()
+        assert small.neighbours(seed, unused, most=5).tolist() == whole.neighbours(seed, unused, most=5).tolist()

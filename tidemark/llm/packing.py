@@ -67,15 +67,19 @@ class Index:
         pair, tf = np.unique(pair, return_counts=True)
         self.doc = pair & 0xFFFFFFFF
         terms, first, df = np.unique(pair >> 32, return_index=True, return_counts=True)
-        self.first, self.df = first, df
+        self.first, self.df, self.size = first, df, df
+        self.alive = np.arange(len(docs))  # the documents that postings speak of, by their place among them
         idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
         norm = k1 * (1 - b + b * size[self.doc] / max(1.0, size.mean()))
         self.weight = np.repeat(idf, df) * tf * (k1 + 1) / (tf + norm)
         # A document's terms from the rarest on.
         term = np.repeat(np.arange(len(terms)), df)
-        order = np.lexsort((term, df[term], self.doc))
-        self.terms = term[order]
-        self.own = np.searchsorted(self.doc[order], np.arange(len(docs) + 1))
+        by_df = np.lexsort((np.arange(len(terms)), df))
+        rank = np.empty(len(terms), np.int64)
+        rank[by_df] = np.arange(len(terms))
+        own = np.sort(self.doc * len(terms) + rank[term])
+        self.terms = by_df[own % max(1, len(terms))]
+        self.own = np.searchsorted(own, np.arange(len(docs) + 1) * len(terms))
 
         # Terms of an eighth of the documents and more are columns of a matrix.
         self.hot = np.flatnonzero(df * 8 > len(docs))
@@ -85,6 +89,16 @@ class Index:
         column = self.column[term]
         self.dense[self.doc[column >= 0], column[column >= 0]] = self.weight[column >= 0]
 
+    def shrink(self, unused: np.ndarray) -> None:
+        """Forget the postings of used documents; weights stay, so every later answer is the same."""
+        stays = unused[self.alive]
+        place = np.cumsum(stays) - 1
+        keep = stays[self.doc]
+        sums = np.concatenate([[0], np.cumsum(keep)])
+        self.first, self.size = sums[self.first], sums[self.first + self.size] - sums[self.first]
+        self.doc, self.weight = place[self.doc[keep]], self.weight[keep]
+        self.dense, self.alive = self.dense[stays], self.alive[stays]
+
     def neighbours(self, seed: int, unused: np.ndarray, n_terms: int | None = None, most: int | None = None) -> np.ndarray:
         """Unused documents that share one of the seed's terms, best first; ties by place.
 
@@ -95,6 +109,7 @@ class Index:
         if not len(terms):
             return terms
         column = self.column[terms]
+        unused = unused[self.alive]
         score = np.zeros(len(unused))
         if (column >= 0).any():
             chosen = np.zeros(len(self.hot), np.float32)
@@ -102,7 +117,7 @@ class Index:
             score += self.dense @ chosen
         terms = terms[column < 0]
         if len(terms):
-            size = self.df[terms]
+            size = self.size[terms]
             at = np.arange(size.sum()) + np.repeat(self.first[terms] - np.cumsum(size) + size, size)
             score += np.bincount(self.doc[at], self.weight[at], len(unused))
         found = np.flatnonzero(unused & (score > 0))
@@ -110,7 +125,7 @@ class Index:
         if most and len(found) > most:
             best = score >= np.partition(score, len(score) - most)[len(score) - most]
             found, score = found[best], score[best]
-        return found[np.lexsort((found, -score))]
+        return self.alive[found[np.lexsort((found, -score))]]
 
 
 def pack_shard(ids: list[np.ndarray], window: int, n_terms: int | None = None) -> list[tuple[int, int, int, int, int]]:
@@ -143,6 +158,8 @@ def pack_shard(ids: list[np.ndarray], window: int, n_terms: int | None = None) -
                 break
         carried = None
         unused[seed] = False
+        if 2 * np.count_nonzero(unused) < len(index.alive):
+            index.shrink(unused)
         queue = [seed, *index.neighbours(seed, unused, n_terms, window).tolist()]
         for d in queue:
             take = int(min(size[d] - left[d], window - filled))
