@@ -6,9 +6,12 @@ wherever in the cycle that is, the phrase is counted from the next scan on, unti
 scanned once with it: one full cycle. Words, pairs and triples are so counted in the same scans, and
 scanning ends when no phrase is left within its cycle.
 
-A task counts the phrases of its texts in numpy and leaves out those whose subphrases are surely not
-frequent, by Bloom filters of a fixed size. Spark adds up the counts by the phrases themselves, and
-joins with the frequent subphrases say exactly in which scans a phrase counted.
+A task counts the phrases of its texts in numpy. Bloom filters of a fixed size, one for each scan that
+found new frequent phrases, tell it when a longer phrase begins: in the scan after the first filters
+that hold its subphrases. A filter that holds a phrase by mistake only begins a longer one sooner; it
+is counted for one full cycle all the same. Spark adds up the counts by the phrases themselves, each
+phrase once, when its cycle ends. Until then a phrase counts as frequent by its well-filled scans
+alone, which are few rows to add up.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ _KIND[[0x20, 0x09]] = _GAP
 _KIND[[*b".,;:!?\x0a\x0b\x0c\x0d", END]] = _CUT
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+_NEVER = 1 << 30
 _LANES = 64  # the best phrases of a language are first found in so many parts of it
 
 
@@ -57,8 +61,13 @@ class _Filter:
     def union(filters: list[_Filter]) -> _Filter:
         return _Filter(reduce(np.bitwise_or, [f.table for f in filters], np.zeros(1 << (_BITS - 6), np.uint64)))
 
-    def empty(self) -> bool:
-        return not self.table.any()
+
+def _since(filters: dict[int, _Filter], h: np.ndarray) -> np.ndarray:
+    """The first scan whose filter holds the phrase, or one past any scan."""
+    since = np.full(len(h), _NEVER, np.int64)
+    for scan in sorted(filters, reverse=True):
+        since[filters[scan](h)] = scan
+    return since
 
 
 class _Tokens:
@@ -97,40 +106,44 @@ class _Tokens:
     def pair_hashes(self, at: np.ndarray) -> np.ndarray:
         return mixed(self.hash[self.code[at]] * _ODD + self.hash[self.code[at + 1]])
 
-    def _rows(self, k: int, codes: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+    def _rows(self, k: int, codes: list[np.ndarray], start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         words = [self.word.take(pa.array(c)) for c in codes]
         phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if k > 1 else words[0]
         lang = self.langs.take(pa.array(self.lang[codes[0]]))
         return pa.RecordBatch.from_arrays(
-            [lang, pa.array(np.full(len(n), k, np.int32)), phrase.cast(pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64))],
-            names=["lang", "size", "phrase", "n"],
+            [lang, pa.array(np.full(len(n), k, np.int32)), phrase.cast(pa.binary()).cast(pa.string()), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64))],
+            names=["lang", "size", "phrase", "start", "n"],
         )
 
     def ones(self) -> pa.RecordBatch:
-        return self._rows(1, [np.arange(len(self.word))], np.bincount(self.code, minlength=len(self.word)))
+        size = len(self.word)
+        return self._rows(1, [np.arange(size)], np.zeros(size), np.bincount(self.code, minlength=size))
 
-    def twos(self, frequent: _Filter, recent: _Filter) -> pa.RecordBatch:
-        known, new = frequent(self.hash), recent(self.hash)
+    def twos(self, words: dict[int, _Filter], begun: range) -> pa.RecordBatch:
+        since = _since(words, self.hash)
         at = self._within(2)
         a, b = self.code[at], self.code[at + 1]
-        on = known[a] & known[b] & (new[a] | new[b])
+        start = np.maximum(since[a], since[b]) + 1
+        on = (start >= begun.start) & (start < begun.stop)
         size = max(1, len(self.word))
         keys, n = np.unique(a[on] * size + b[on], return_counts=True)
-        return self._rows(2, [keys // size, keys % size], n)
+        a, b = keys // size, keys % size
+        return self._rows(2, [a, b], np.maximum(since[a], since[b]) + 1, n)
 
-    def threes(self, frequent: _Filter, recent: _Filter) -> pa.RecordBatch:
+    def threes(self, twos: dict[int, _Filter], begun: range) -> pa.RecordBatch:
         at = self._within(2)
-        h = self.pair_hashes(at)
-        known, new = np.zeros(self.n + 1, bool), np.zeros(self.n + 1, bool)
-        known[at], new[at] = frequent(h), recent(h)
+        since = np.full(self.n + 1, _NEVER, np.int64)
+        since[at] = _since(twos, self.pair_hashes(at))
         at = self._within(3)
-        at = at[known[at] & known[at + 1] & (new[at] | new[at + 1])]
+        start = np.maximum(since[at], since[at + 1]) + 1
+        on = (start >= begun.start) & (start < begun.stop)
+        at, start = at[on], start[on]
         size = max(1, len(self.word))
         # Pairs by number first: three codes in one whole number could pass 64 bits in a very long text.
         pairs, pair = np.unique(self.code[at] * size + self.code[at + 1], return_inverse=True)
-        keys, n = np.unique(pair * size + self.code[at + 2], return_counts=True)
+        keys, where, n = np.unique(pair * size + self.code[at + 2], return_index=True, return_counts=True)
         first = pairs[keys // size] if len(keys) else keys
-        return self._rows(3, [first // size, first % size, keys % size], n)
+        return self._rows(3, [first // size, first % size, keys % size], start[where], n)
 
 
 def _seed(lang: str) -> np.uint64:
@@ -139,8 +152,8 @@ def _seed(lang: str) -> np.uint64:
     return span_hashes(eights, np.zeros(1, np.int64), np.array([len(raw) - 8]))[0]
 
 
-def _counted(filters: dict[int, tuple[_Filter, _Filter]], words: bool):
-    """Count the words of each block, and the phrases of the sizes that have filters."""
+def _counted(filters: dict[int, dict[int, _Filter]], begun: range, words: bool):
+    """Count the words of each block, and the phrases, begun in these scans, of the sizes that have filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", 4 << 20):
@@ -148,9 +161,9 @@ def _counted(filters: dict[int, tuple[_Filter, _Filter]], words: bool):
             if words:
                 yield tokens.ones()
             if 2 in filters:
-                yield tokens.twos(*filters[2])
+                yield tokens.twos(filters[2], begun)
             if 3 in filters:
-                yield tokens.threes(*filters[3])
+                yield tokens.threes(filters[3], begun)
 
     return run
 
@@ -186,26 +199,6 @@ def part(words: int, name: str = "phrase") -> Column:
     return F.substring_index(F.col(name), " ", words)
 
 
-def _frequent(scans: list[tuple[int, DataFrame]], shorter: DataFrame | None, size: int, shards: int, least: int) -> DataFrame:
-    """(lang, phrase, n, since): phrases counted ``least`` times so far, and the scan in which they got there.
-
-    A phrase counts in one cycle from the scan after that in which the later one of its subphrases became frequent.
-    """
-    rows = reduce(DataFrame.unionByName, [df.withColumn("scan", F.lit(scan)) for scan, df in scans])
-    per_scan = [F.sum(F.when(F.col("scan") == scan, F.col("n")).otherwise(0)) for scan in range(scans[-1][0] + 1)]
-    seen = rows.groupBy("lang", "phrase").agg(F.array(*per_scan).alias("per_scan"), F.sum("n").alias("n")).where(F.col("n") >= least)
-    if shorter is None:
-        seen = seen.withColumn("start", F.lit(0))
-    else:
-        for name, words in (("since_first", size - 1), ("since_last", 1 - size)):
-            known = shorter.select("lang", F.col("phrase").alias("sub"), F.col("since").alias(name))
-            seen = seen.withColumn("sub", part(words)).join(known, ["lang", "sub"]).drop("sub")
-        seen = seen.withColumn("start", F.greatest("since_first", "since_last") + 1)
-    cycle = F.expr(f"""aggregate(slice(per_scan, start + 1, {shards}), struct(0L as n, start as scan, cast(null as int) as since),
-        (sum, n) -> struct(sum.n + n as n, sum.scan + 1 as scan, coalesce(sum.since, if(sum.n + n >= {least}, sum.scan, null)) as since))""")
-    return seen.select("lang", "phrase", cycle.alias("cycle")).select("lang", "phrase", "cycle.n", "cycle.since").where(F.col("n") >= least)
-
-
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, shards: int = 3) -> tuple[dict[int, DataFrame], DataFrame]:
     """Stored tables (lang, phrase, n, since) of the frequent words, pairs and triples, and (lang, n) of all words.
 
@@ -218,34 +211,60 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     path = new_folder(spark, "shards")
     rows.write.partitionBy("shard").parquet(path)
     corpus = spark.read.schema(rows.schema).parquet(path)
+    full = -(-least // shards)  # a frequent phrase has a scan with so many; sums of such scans alone are never too high
+
+    scans: dict[int, dict[int, DataFrame]] = {1: {}, 2: {}, 3: {}}
+    ended: dict[int, list[DataFrame]] = {1: [], 2: []}
+    reached: dict[int, dict[int, _Filter]] = {1: {}, 2: {}}  # by scan, the phrases that got frequent in it
+
+    def sums(size: int, scan: int, which: Column) -> DataFrame:
+        """Phrases that are frequent by now, with the scan of the cycle in which their well-filled scans, or its end, made them so."""
+        cycle = [(k, df.where(which)) for k, df in scans[size].items() if scan - shards < k <= scan]
+        rows = reduce(DataFrame.unionByName, [df.withColumn("scan", F.lit(k)) for k, df in cycle])
+        filled = [F.sum(F.when((F.col("scan") <= k) & (F.col("n") >= full), F.col("n")).otherwise(0)) for k, _ in cycle]
+        since = F.coalesce(*[F.when(x >= least, k) for x, (k, _) in zip(filled, cycle)], F.lit(scan))
+        return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), since.alias("since")).where(F.col("n") >= least)
 
-    scans: dict[int, list[tuple[int, DataFrame]]] = {1: [], 2: [], 3: []}
-    found: dict[int, DataFrame] = {}
-    reached: dict[int, list[_Filter]] = {1: [], 2: []}  # by scan, the phrases that got frequent in it
     for scan in count():
+        begun = range(max(0, scan - shards + 1), scan + 1)
         filters = {}
         for size in (2, 3):
-            recent = _Filter.union(reached[size - 1][max(0, scan - shards) :])
-            if not recent.empty():
-                filters[size] = (_Filter.union(reached[size - 1]), recent)
+            recent = {k: f for k, f in reached[size - 1].items() if k + 1 in begun}
+            if recent:
+                older = _Filter.union([f for k, f in reached[size - 1].items() if k not in recent])
+                filters[size] = recent | ({begun.start - 2: older} if older.table.any() else {})
         if scan >= shards and not filters:
             break
         shard = corpus.where(F.col("shard") == scan % shards).select("lang", "text")
-        counts = shard.mapInArrow(_counted(filters, scan < shards), "lang string, size int, phrase string, n long")
-        counts = stage(counts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")), "scan")
-        counted = [*([1] if scan < shards else []), *filters]
-        for size in counted:
-            scans[size].append((scan, counts.where(F.col("size") == size).drop("size")))
+        counts = shard.mapInArrow(_counted(filters, begun, scan < shards), "lang string, size int, phrase string, start int, n long")
+        # A phrase begins in the same scan wherever it stands.
+        counts = stage(counts.groupBy("lang", "size", "phrase").agg(F.min("start").alias("start"), F.sum("n").alias("n")), "scan")
+        for size in ([1] if scan < shards else []) + list(filters):
+            scans[size][scan] = counts.where(F.col("size") == size).drop("size")
         for size in (1, 2):
-            if size in counted:
-                found[size] = stage(_frequent(scans[size], found.get(size - 1), size, shards, least), "frequent")
-            new = [_filter(found[size].where(F.col("since") == scan), size)] if size in counted else [_Filter.union([])]
-            reached[size] += new
-    if scans[3]:
-        found[3] = stage(_frequent(scans[3], found[2], 3, shards, least), "frequent")
-    words = reduce(DataFrame.unionByName, [df for _, df in scans[1]]).groupBy("lang").agg(F.sum("n").alias("n"))
+            if scan not in scans[size]:
+                continue
+            first = scan - shards + 1
+            new = [sums(size, scan, (F.col("start") > first) & (F.col("n") >= full))]
+            if first >= 0:
+                ended[size].append(stage(sums(size, scan, F.col("start") == first), "ended"))
+                new.append(ended[size][-1])
+            fresh = _filter(reduce(DataFrame.unionByName, new).where(F.col("since") == scan), size)
+            if fresh.table.any():
+                reached[size][scan] = fresh
     none = spark.createDataFrame([], "lang string, phrase string, n long, since int")
-    return {size: found.get(size, none) for size in scans}, words
+    found = {size: reduce(DataFrame.unionByName, [none, *tables]) for size, tables in ended.items()}
+    # Nothing waits for triples: one sum when all cycles have ended.
+    triples = [df.withColumn("scan", F.lit(k)) for k, df in scans[3].items()]
+    if triples:
+        upto = [F.sum(F.when(F.col("scan") <= F.col("start") + k, F.col("n")).otherwise(0)) for k in range(shards)]
+        since = F.coalesce(*[F.when(x >= least, F.min("start") + k) for k, x in enumerate(upto)]).cast("int")
+        sizes = reduce(DataFrame.unionByName, triples).groupBy("lang", "phrase").agg(F.sum("n").alias("n"), since.alias("since"))
+        found[3] = stage(sizes.where(F.col("n") >= least), "triples")
+    else:
+        found[3] = none
+    words = reduce(DataFrame.unionByName, list(scans[1].values())).groupBy("lang").agg(F.sum("n").alias("n"))
+    return found, words
 
 
 def _score(a: str, left: str, right: str) -> Column:
