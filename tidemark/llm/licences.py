@@ -1,13 +1,15 @@
 """Licence scan: a trained paragraph classifier, then a comparison with the family's templates.
 
-Paragraphs (lines) are scored by multinomial logistic regression on sparse hashed word 1-, 2- and
-3-grams. One class is ``unknown``: ordinary paragraphs. Probabilities are calibrated by a temperature
-fitted on rows that did not train. A predicted family counts when a template of that family shares
-enough of its word pairs with the paragraph.
+Paragraphs are single lines and, for notices wrapped over several lines, runs of adjoining lines that
+hold word pairs of one template. They are scored by multinomial logistic regression on sparse hashed
+word 1-, 2- and 3-grams. One class is ``unknown``: ordinary paragraphs. Probabilities are calibrated by
+a temperature fitted on rows that did not train. A predicted family counts when a template of that
+family shares enough of its word pairs with the paragraph.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -107,22 +109,33 @@ class Paragraphs:
         start = np.concatenate([[0], end[:-1] + 1])
         first = np.searchsorted(words.start, np.append(start, len(data)))
         keep = np.diff(first) > 0
-        self.start, self.end = start[keep], end[keep]
+        self.start, self.end, self.line = start[keep], end[keep], np.flatnonzero(keep)
         self.text = np.searchsorted(words.bounds, self.start, "right") - 1
-        self.bounds = words.bounds
+        self.bounds, self.data = words.bounds, data
         h = words.hashes()
-        paragraph = np.searchsorted(self.start, words.start, "right") - 1
+        self.of_word = paragraph = np.searchsorted(self.start, words.start, "right") - 1
         self.grams = []
         for n in (1, 2, 3):
             out = np.zeros(max(0, len(h) - n + 1), np.uint64)
             for k in range(n):
                 out = mixed(out + h[k : len(h) - n + 1 + k] + np.uint64(n))
+            if n == 2:
+                self.pairs = out  # those across two lines, too
             inside = paragraph[: len(out)] == paragraph[n - 1 :][: len(out)]
             self.grams.append((paragraph[: len(out)][inside], out[inside]))
 
     def __len__(self) -> int:
         return len(self.start)
 
+    def follows(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether line ``b`` stands right below line ``a``, without a wordless line between."""
+        return (self.line[b] == self.line[a] + 1) & (self.text[a] == self.text[b])
+
+    def joined(self, runs: list[tuple[int, int]]) -> Paragraphs:
+        """Each run of lines, first and last included, as one paragraph."""
+        raw = [self.data[self.start[a] : self.end[b]].tobytes().replace(b"\n", b" ") for a, b in runs]
+        return Paragraphs(pa.array([x + bytes([END]) for x in raw], pa.binary()))
+
     def features(self) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate([g[0] for g in self.grams]), np.concatenate([g[1] for g in self.grams])
 
@@ -183,6 +196,10 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_backgrou
     p = Paragraphs(_column([t.replace("\n", " ") for t in texts]))
     y = y[p.text]
     at, h = p.features()
+    # Only n-grams of notices carry weight, in training, calibration and use; paragraphs without any are never scored.
+    keep = np.isin(h, np.unique(h[y[at] > 0]))
+    rows, at = np.unique(at[keep], return_inverse=True)
+    h, y = h[keep], y[rows]
     slot = (h >> np.uint64(64 - BITS)).astype(np.int64)
     fits = rng.random(len(y)) < 0.8
     share = np.bincount(y, minlength=len(FAMILIES)).astype(float)
@@ -220,13 +237,11 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_backgrou
     loss = [-(weight[held] * np.log(softmax(z[held] / t)[np.arange(held.sum()), y[held]] + 1e-12)).sum() for t in scale]
     temperature = float(scale[int(np.argmin(loss))])
 
-    # Only n-grams of notices carry weight in use; all others are as if absent.
-    notice = np.isin(at, np.flatnonzero(y > 0))
-    keys, place = np.unique(h[notice], return_index=True)
+    keys, place = np.unique(h, return_index=True)
     pairs = [np.unique(Paragraphs(_column([t])).grams[1][1]) for _, t in flat]
     pair_keys = np.unique(np.concatenate(pairs))
     return Model(
-        keys, w[where[notice][place]], b, temperature, pair_keys, np.stack([np.isin(pair_keys, x) for x in pairs], 1),
+        keys, w[where[place]], b, temperature, pair_keys, np.stack([np.isin(pair_keys, x) for x in pairs], 1),
         np.array([len(x) for x in pairs]), np.array([FAMILIES.index(f) for f, _ in flat]),
     )
 
@@ -257,12 +272,75 @@ def classify(p: Paragraphs, model: Model, lookup: Lookup, pairs: Lookup, least:
     return some[good], family[good], probability[good], share[good]
 
 
+def wrapped(p: Paragraphs, model: Model, pairs: Lookup, confirm: float) -> list[tuple[int, int]]:
+    """Runs of two or more adjoining lines that together hold enough word pairs of one template.
+
+    Each line of a run holds such a pair, whole or as one end of a pair across lines. Lines at either
+    end whose pairs all recur within the run are left out.
+    """
+    row = pairs(p.pairs)
+    at = np.flatnonzero(row)
+    first, last = p.of_word[at], p.of_word[at + 1]
+    on = first == last
+    on[~on] = p.follows(first[~on], last[~on])
+    at, first, last = at[on], first[on], last[on]
+    hit, template = np.nonzero(model.pair_of[row[at] - 1])
+    pair = row[at][hit]
+    if not len(hit):
+        return []
+    many = len(model.pair_keys) + 1
+    held = np.unique((np.tile(template, 2) * len(p) + np.concatenate([first[hit], last[hit]])) * many + np.tile(pair, 2))
+    template, line, pair = held // many // len(p), held // many % len(p), held % many
+    new = (template[1:] != template[:-1]) | ((line[1:] != line[:-1]) & ~p.follows(line[:-1], line[1:]))
+    run = np.concatenate([[0], np.cumsum(new)])
+    distinct = np.bincount(np.unique(run * many + pair) // many)
+    cut = np.append(np.flatnonzero(np.concatenate([[True], new])), len(run))
+    enough = distinct >= confirm * model.pair_count[template[cut[:-1]]]
+    out = set()
+    for k in np.flatnonzero(enough & (line[cut[1:] - 1] > line[cut[:-1]])).tolist():
+        lines, of = line[cut[k] : cut[k + 1]].tolist(), pair[cut[k] : cut[k + 1]].tolist()
+        seen = Counter(of)
+        low, high = 0, len(lines)
+        for step in (1, -1):
+            while lines[low] < lines[high - 1]:
+                end = lines[low] if step == 1 else lines[high - 1]
+                n = next((i for i in range(high - low) if (lines[low + i] if step == 1 else lines[high - 1 - i]) != end), high - low)
+                gone = of[low : low + n] if step == 1 else of[high - n : high]
+                if any(seen[x] == 1 for x in gone):
+                    break
+                seen.subtract(gone)
+                low, high = (low + n, high) if step == 1 else (low, high - n)
+        if lines[low] < lines[high - 1]:
+            out.add((lines[low], lines[high - 1]))
+    return sorted(out)
+
+
+def notices(p: Paragraphs, model: Model, lookup: Lookup, pairs: Lookup, least: float, confirm: float) -> list[tuple[int, int, int]]:
+    """(first line, last line, family) of every notice; a run counts unless it meets a better notice of its family.
+
+    Single lines come before runs, then the greater share of the template, the shorter run, the earlier one.
+    """
+    place, family, _, _ = classify(p, model, lookup, pairs, least, confirm)
+    found = [(i, i, f) for i, f in zip(place.tolist(), family.tolist())]
+    runs = wrapped(p, model, pairs, confirm)
+    if not runs:
+        return found
+    place, family, _, share = classify(p.joined(runs), model, lookup, pairs, least, confirm)
+    better = sorted((-x, runs[i][1] - runs[i][0], *runs[i], f) for i, f, x in zip(place.tolist(), family.tolist(), share.tolist()))
+    taken = {(i, f) for i, _, f in found}
+    for _, _, a, b, f in better:
+        if not any((i, f) in taken for i in range(a, b + 1)):
+            taken.update((i, f) for i in range(a, b + 1))
+            found.append((a, b, f))
+    return sorted(found)
+
+
 def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", least: float = 0.5, confirm: float = 0.6) -> DataFrame:
     """One row per row of ``docs``: (key, n_paragraphs, n_notices, families, notices).
 
     ``families`` lists the families found, sorted and comma-joined; ``notices`` lists
-    ``family:start:end`` in UTF-8 bytes of the lower-cased text. A paragraph is a line with
-    a word; whole texts are read. Null and empty texts have none. Repeated rows stay
+    ``family:start:end`` in UTF-8 bytes of the lower-cased text, by line. ``n_paragraphs`` counts
+    lines with a word; a notice is one such line or a run of adjoining ones; whole texts are read. Null and empty texts have none. Repeated rows stay
     repeated, other columns are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,12 +348,11 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
         pairs = Lookup(model.pair_keys, np.arange(1, len(model.pair_keys) + 1))
         for block in blocks(batches, "text"):
             p = Paragraphs(block.column("text"))
-            place, family, _, _ = classify(p, model, lookup, pairs, least, confirm)
             found: list[list[str]] = [[] for _ in range(block.num_rows)]
             names: list[set[str]] = [set() for _ in range(block.num_rows)]
-            for i, f in zip(place.tolist(), family.tolist()):
-                t = p.text[i]
-                found[t].append(f"{FAMILIES[f]}:{p.start[i] - p.bounds[t]}:{p.end[i] - p.bounds[t]}")
+            for first, last, f in notices(p, model, lookup, pairs, least, confirm):
+                t = p.text[first]
+                found[t].append(f"{FAMILIES[f]}:{p.start[first] - p.bounds[t]}:{p.end[last] - p.bounds[t]}")
                 names[t].add(FAMILIES[f])
             yield pa.RecordBatch.from_arrays(
                 [
