@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.clashes import set_aside
+
 WIDTH = 5
 # Signatures of passages are broadcast up to this many rows of some 40 bytes; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -116,7 +118,7 @@ def contained(
 def decontaminate(docs: DataFrame, passages: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The documents that contain no passage; rows of a key with a match go together."""
     hits = contained(docs, passages, key, text, **how).select(F.col(key).alias("_hit")).distinct()
-    return docs.join(hits, docs[key].eqNullSafe(F.col("_hit")), "left_anti")
+    return set_aside(docs, lambda rows: rows.join(hits, F.col(key).eqNullSafe(F.col("_hit")), "left_anti"), key)
 
 
 ORACLE = r"""

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.clashes import set_aside
 from tidemark.llm.components import components
 from tidemark.llm.words import Words, blocks, closed, mixed, shingles
 from tidemark.session import stage
@@ -294,4 +295,4 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The documents without those that a smaller key of their class stands for; null keys stay."""
     gone = near_copies(docs, key, text, **how).where("not kept").select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return set_aside(docs, lambda rows: rows.join(gone, F.col(key) == F.col("_gone"), "left_anti"), key)

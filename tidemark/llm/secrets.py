@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.clashes import set_aside
 from tidemark.session import stage
 
 # Fixed values: (kind, pattern, group whose length counts, least length). Listed order breaks ties of start.
@@ -151,7 +152,14 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int =
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", scope: int = 200) -> DataFrame:
-    """The rows with every span of their text replaced by ``mark``; touching and overlapping spans become one."""
+    """The rows with every span of their text replaced by ``mark``; touching and overlapping spans become one.
+
+    Columns of any name pass through unchanged.
+    """
+    return set_aside(docs, lambda rows: _redacted(rows, text, mark, scope), text)
+
+
+def _redacted(docs: DataFrame, text: str, mark: str, scope: int) -> DataFrame:
     found = with_links(matches(docs, text), scope)
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

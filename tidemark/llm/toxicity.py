@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.clashes import set_aside
 from tidemark.llm.words import END, Lookup, Words, blocks, closed
 from tidemark.session import stage
 
@@ -239,4 +240,4 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: flo
             _, scores = _probabilities(Sentences(block.column("_closed")), lookup, model.bias)
             yield block.drop_columns(["_closed"]).filter(pa.array(scores < threshold))
 
-    return docs.withColumn("_closed", closed(F.col(text))).mapInArrow(run, docs.schema)
+    return set_aside(docs, lambda rows: rows.withColumn("_closed", closed(F.col(text))).mapInArrow(run, rows.schema), text)
