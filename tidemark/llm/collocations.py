@@ -6,12 +6,12 @@ wherever in the cycle that is, the phrase is counted from the next scan on, unti
 scanned once with it: one full cycle. Words, pairs and triples are so counted in the same scans, and
 scanning ends when no phrase is left within its cycle.
 
-A task counts the phrases of its texts in numpy. Bloom filters of a fixed size, one for each scan that
-found new frequent phrases, tell it when a longer phrase begins: in the scan after the first filters
-that hold its subphrases. A filter that holds a phrase by mistake only begins a longer one sooner; it
-is counted for one full cycle all the same. Spark adds up the counts by the phrases themselves, each
-phrase once, when its cycle ends. Until then a phrase counts as frequent by its well-filled scans
-alone, which are few rows to add up.
+The scans count 64-bit hashes of phrases: numpy counts those of a block, Spark adds them up as whole
+numbers. Bloom filters of a fixed size, one for each scan that found new frequent phrases, tell a
+task when a longer phrase begins: in the scan after the first filters that hold its subphrases.
+Phrases of equal hashes, or held by a filter by mistake, only make longer ones begin sooner. A last
+pass spells the phrases whose hash got frequent and counts them as strings, so no count rests on a
+hash; rare phrases, which are most, never travel as strings.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ _KIND[[*b".,;:!?\x0a\x0b\x0c\x0d", END]] = _CUT
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _NEVER = 1 << 30
+_SPELLED = ["lang", "size", "phrase", "h", "n"]
 _LANES = 64  # the best phrases of a language are first found in so many parts of it
 
 
@@ -70,80 +71,41 @@ def _since(filters: dict[int, _Filter], h: np.ndarray) -> np.ndarray:
     return since
 
 
-class _Tokens:
-    """The words of a block of texts: codes of (language, word), and the piece each word stands in."""
+class _Words:
+    """The words of a block of texts: a hash of language and word, and the piece each word stands in."""
 
     def __init__(self, lang: pa.Array, text: pa.Array):
         data, bounds = content(text)
-        data = np.concatenate([_LOWER[data], np.full(8, END, np.uint8)])
-        kind = _KIND[data]
-        inside = kind == _WORD
-        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        if inside[0]:
+        self.data = np.concatenate([_LOWER[data], np.full(8, END, np.uint8)])
+        kind = _KIND[self.data]
+        self.inside = kind == _WORD
+        edge = np.flatnonzero(self.inside[1:] != self.inside[:-1]) + 1
+        if self.inside[0]:
             edge = np.concatenate([[0], edge])
-        start, end = edge[::2], edge[1::2]
-        self.n = len(start)
-        self.piece = np.cumsum(kind == _CUT)[start]
+        self.start, self.end = edge[::2], edge[1::2]
+        self.n = len(self.start)
+        self.piece = np.searchsorted(np.flatnonzero(kind == _CUT), self.start)
         langs = lang.dictionary_encode()
         self.langs, row_lang = langs.dictionary, langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        of = row_lang[np.searchsorted(bounds, start, "right") - 1]
-        offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
-        spelled = pa.Array.from_buffers(pa.large_binary(), self.n, [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
-        spelled = spelled.dictionary_encode()
-        words, code = spelled.dictionary, spelled.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        # One code per (language, word) of the block.
-        pairs, first, self.code = np.unique(of * max(1, len(words)) + code, return_index=True, return_inverse=True)
-        self.lang = pairs // max(1, len(words))
-        self.word = words.take(pa.array(pairs % max(1, len(words))))
-        eights = np.ndarray(len(data) - 7, "<u8", data.data, 0, (1,))
+        self.lang = row_lang[np.searchsorted(bounds, self.start, "right") - 1]
+        eights = np.ndarray(len(self.data) - 7, "<u8", self.data.data, 0, (1,))
         seeds = np.array([_seed(x) for x in self.langs.to_pylist()], np.uint64)
-        self.hash = mixed(span_hashes(eights, start[first], end[first]) + seeds[self.lang]) if self.n else np.zeros(0, np.uint64)
+        self.hash = mixed(span_hashes(eights, self.start, self.end) + seeds[self.lang]) if self.n else np.zeros(0, np.uint64)
 
-    def _within(self, k: int) -> np.ndarray:
+    def within(self, k: int) -> np.ndarray:
         """Positions at which ``k`` words in a row stand in one piece."""
         return np.flatnonzero(self.piece[: max(0, self.n - k + 1)] == self.piece[k - 1 :])
 
-    def pair_hashes(self, at: np.ndarray) -> np.ndarray:
-        return mixed(self.hash[self.code[at]] * _ODD + self.hash[self.code[at + 1]])
+    def pairs(self, at: np.ndarray) -> np.ndarray:
+        return _joined(self.hash[at], self.hash[at + 1])
 
-    def _rows(self, k: int, codes: list[np.ndarray], start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        words = [self.word.take(pa.array(c)) for c in codes]
-        phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if k > 1 else words[0]
-        lang = self.langs.take(pa.array(self.lang[codes[0]]))
-        return pa.RecordBatch.from_arrays(
-            [lang, pa.array(np.full(len(n), k, np.int32)), phrase.cast(pa.binary()).cast(pa.string()), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64))],
-            names=["lang", "size", "phrase", "start", "n"],
-        )
+    def triples(self, at: np.ndarray) -> np.ndarray:
+        return _joined(self.pairs(at), self.hash[at + 2])
 
-    def ones(self) -> pa.RecordBatch:
-        size = len(self.word)
-        return self._rows(1, [np.arange(size)], np.zeros(size), np.bincount(self.code, minlength=size))
-
-    def twos(self, words: dict[int, _Filter], begun: range) -> pa.RecordBatch:
-        since = _since(words, self.hash)
-        at = self._within(2)
-        a, b = self.code[at], self.code[at + 1]
-        start = np.maximum(since[a], since[b]) + 1
-        on = (start >= begun.start) & (start < begun.stop)
-        size = max(1, len(self.word))
-        keys, n = np.unique(a[on] * size + b[on], return_counts=True)
-        a, b = keys // size, keys % size
-        return self._rows(2, [a, b], np.maximum(since[a], since[b]) + 1, n)
-
-    def threes(self, twos: dict[int, _Filter], begun: range) -> pa.RecordBatch:
-        at = self._within(2)
-        since = np.full(self.n + 1, _NEVER, np.int64)
-        since[at] = _since(twos, self.pair_hashes(at))
-        at = self._within(3)
-        start = np.maximum(since[at], since[at + 1]) + 1
-        on = (start >= begun.start) & (start < begun.stop)
-        at, start = at[on], start[on]
-        size = max(1, len(self.word))
-        # Pairs by number first: three codes in one whole number could pass 64 bits in a very long text.
-        pairs, pair = np.unique(self.code[at] * size + self.code[at + 1], return_inverse=True)
-        keys, where, n = np.unique(pair * size + self.code[at + 2], return_index=True, return_counts=True)
-        first = pairs[keys // size] if len(keys) else keys
-        return self._rows(3, [first // size, first % size, keys % size], start[where], n)
+
+def _joined(head: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The hash of a phrase from those of its head and its last word."""
+    return mixed(head * _ODD + last)
 
 
 def _seed(lang: str) -> np.uint64:
@@ -152,43 +114,110 @@ def _seed(lang: str) -> np.uint64:
     return span_hashes(eights, np.zeros(1, np.int64), np.array([len(raw) - 8]))[0]
 
 
+def _tally(size: int, start: int, h: np.ndarray) -> pa.RecordBatch:
+    h, n = np.unique(h, return_counts=True)
+    columns = [np.full(len(h), size, np.int32), np.full(len(h), start, np.int32), h.view(np.int64), n.astype(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["size", "start", "h", "n"])
+
+
 def _counted(filters: dict[int, dict[int, _Filter]], begun: range, words: bool):
     """Count the words of each block, and the phrases, begun in these scans, of the sizes that have filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", 4 << 20):
-            tokens = _Tokens(block.column("lang"), block.column("text"))
+        for block in blocks(batches, "text", 8 << 20):
+            found = _Words(block.column("lang"), block.column("text"))
             if words:
-                yield tokens.ones()
+                yield _tally(1, 0, found.hash)
             if 2 in filters:
-                yield tokens.twos(filters[2], begun)
+                since, at = _since(filters[2], found.hash), found.within(2)
+                start = np.maximum(since[at], since[at + 1]) + 1
+                for scan in begun:
+                    yield _tally(2, scan, found.pairs(at[start == scan]))
             if 3 in filters:
-                yield tokens.threes(filters[3], begun)
+                since, at = np.full(found.n + 1, _NEVER, np.int64), found.within(2)
+                since[at] = _since(filters[3], found.pairs(at))
+                at = found.within(3)
+                start = np.maximum(since[at], since[at + 1]) + 1
+                for scan in begun:
+                    yield _tally(3, scan, found.triples(at[start == scan]))
 
     return run
 
 
-def _slots(size: int):
-    """The filter words, and their bits, that phrases of ``size`` words set."""
+class _Spelled(_Words):
+    """Words with codes of (language, word), for those that a filter of the frequent words holds; others have -1."""
+
+    def __init__(self, lang: pa.Array, text: pa.Array, words: _Filter):
+        super().__init__(lang, text)
+        offsets = np.concatenate([[0], np.cumsum(self.end - self.start)]).astype(np.int64)
+        spelled = pa.Array.from_buffers(pa.large_binary(), self.n, [None, pa.py_buffer(offsets), pa.py_buffer(self.data[self.inside])])
+        held = np.flatnonzero(words(self.hash))
+        spelled = spelled.take(pa.array(held)).dictionary_encode()
+        several = max(1, len(spelled.dictionary))
+        keys = self.lang[held] * several + spelled.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        keys, first, code = np.unique(keys, return_index=True, return_inverse=True)
+        self.code = np.full(self.n, -1, np.int64)
+        self.code[held] = code
+        self.code_lang, self.code_hash = keys // several, self.hash[held[first]]
+        self.word = spelled.dictionary.take(pa.array(keys % several))
+
+    def _rows(self, codes: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+        phrase = self.word.take(pa.array(codes[0]))
+        if len(codes) > 1:
+            phrase = pc.binary_join_element_wise(phrase, *[self.word.take(pa.array(c)) for c in codes[1:]], pa.scalar(b" ", pa.large_binary()))
+        h = reduce(_joined, [self.code_hash[c] for c in codes])
+        lang = self.langs.take(pa.array(self.code_lang[codes[0]]))
+        size = pa.array(np.full(len(n), len(codes), np.int32))
+        return pa.RecordBatch.from_arrays([lang, size, phrase.cast(pa.binary()).cast(pa.string()), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=_SPELLED)
+
+    def totals(self) -> pa.RecordBatch:
+        """The number of all words per language, as phrases of no words."""
+        size, zero = len(self.langs), np.zeros(len(self.langs), np.int64)
+        n = np.bincount(self.lang, minlength=size).astype(np.int64)
+        return pa.RecordBatch.from_arrays([self.langs, pa.array(zero.astype(np.int32)), pa.array([""] * size, pa.string()), pa.array(zero), pa.array(n)], names=_SPELLED)
+
+    def ones(self) -> pa.RecordBatch:
+        size = len(self.word)
+        return self._rows([np.arange(size)], np.bincount(self.code[self.code >= 0], minlength=size))
+
+    def twos(self, held: _Filter) -> pa.RecordBatch:
+        at, size = self.within(2), max(1, len(self.word))
+        at = at[(self.code[at] >= 0) & (self.code[at + 1] >= 0)]
+        at = at[held(self.pairs(at))]
+        keys, n = np.unique(self.code[at] * size + self.code[at + 1], return_counts=True)
+        return self._rows([keys // size, keys % size], n)
+
+    def threes(self, held: _Filter) -> pa.RecordBatch:
+        at, size = self.within(3), max(1, len(self.word))
+        at = at[(self.code[at] >= 0) & (self.code[at + 1] >= 0) & (self.code[at + 2] >= 0)]
+        at = at[held(self.triples(at))]
+        # Pairs by number first: three codes in one whole number could pass 64 bits in a very long text.
+        pairs, pair = np.unique(self.code[at] * size + self.code[at + 1], return_inverse=True)
+        keys, n = np.unique(pair * size + self.code[at + 2], return_counts=True)
+        first = pairs[keys // size] if len(keys) else keys
+        return self._rows([first // size, first % size, keys % size], n)
+
+
+def _spelled(held: dict[int, _Filter]):
+    """Count the phrases that the filter of their size holds, spelled out, and all words of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
-            tokens = _Tokens(block.column("lang"), block.column("text"))
-            h = tokens.hash[tokens.code] if size == 1 else tokens.pair_hashes(np.arange(0, tokens.n, 2))
-            at = _Filter.slots(h)
-            order = np.argsort(at >> 6, kind="stable")
-            at = at[order]
-            place, first = np.unique(at >> 6, return_index=True)
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(bits.view(np.int64))], names=["place", "bits"])
+        for block in blocks(batches, "text", 8 << 20):
+            found = _Spelled(block.column("lang"), block.column("text"), held[1])
+            yield found.totals()
+            yield found.ones()
+            yield found.twos(held[2])
+            yield found.threes(held[3])
 
     return run
 
 
-def _filter(phrases: DataFrame, size: int) -> _Filter:
-    """A filter of (lang, phrase); its bits are put together by Spark, and reach the driver in its fixed size."""
-    rows = phrases.select("lang", closed(F.col("phrase"), lower=False).alias("text")).mapInArrow(_slots(size), "place long, bits long")
-    found = rows.groupBy("place").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
+def _filter(hashes: DataFrame) -> _Filter:
+    """A filter of the column ``h``; its bits are put together by Spark, and reach the driver in its fixed size."""
+    low = (1 << _BITS) - 1
+    slots = hashes.select(F.expr(f"explode(array(h & {low}L, shiftrightunsigned(h, 32) & {low}L)) as slot"))
+    bits = slots.groupBy(F.expr("shiftright(slot, 6) as place")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int))) as bits"))
+    found = bits.toPandas()
     table = np.zeros(1 << (_BITS - 6), np.uint64)
     table[found["place"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
     return _Filter(table)
@@ -214,16 +243,17 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     full = -(-least // shards)  # a frequent phrase has a scan with so many; sums of such scans alone are never too high
 
     scans: dict[int, dict[int, DataFrame]] = {1: {}, 2: {}, 3: {}}
-    ended: dict[int, list[DataFrame]] = {1: [], 2: []}
+    ended: list[DataFrame] = []
     reached: dict[int, dict[int, _Filter]] = {1: {}, 2: {}}  # by scan, the phrases that got frequent in it
 
     def sums(size: int, scan: int, which: Column) -> DataFrame:
-        """Phrases that are frequent by now, with the scan of the cycle in which their well-filled scans, or its end, made them so."""
+        """Hashes that are frequent by now, with the scan of the cycle in which their well-filled scans, or its end, made them so."""
         cycle = [(k, df.where(which)) for k, df in scans[size].items() if scan - shards < k <= scan]
         rows = reduce(DataFrame.unionByName, [df.withColumn("scan", F.lit(k)) for k, df in cycle])
         filled = [F.sum(F.when((F.col("scan") <= k) & (F.col("n") >= full), F.col("n")).otherwise(0)) for k, _ in cycle]
         since = F.coalesce(*[F.when(x >= least, k) for x, (k, _) in zip(filled, cycle)], F.lit(scan))
-        return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), since.alias("since")).where(F.col("n") >= least)
+        found = rows.groupBy("start", "h").agg(F.sum("n").alias("n"), since.alias("since")).where(F.col("n") >= least)
+        return found.select(F.lit(size).alias("size"), "h", "since")
 
     for scan in count():
         begun = range(max(0, scan - shards + 1), scan + 1)
@@ -236,9 +266,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
         if scan >= shards and not filters:
             break
         shard = corpus.where(F.col("shard") == scan % shards).select("lang", "text")
-        counts = shard.mapInArrow(_counted(filters, begun, scan < shards), "lang string, size int, phrase string, start int, n long")
-        # A phrase begins in the same scan wherever it stands.
-        counts = stage(counts.groupBy("lang", "size", "phrase").agg(F.min("start").alias("start"), F.sum("n").alias("n")), "scan")
+        counts = shard.mapInArrow(_counted(filters, begun, scan < shards), "size int, start int, h long, n long")
+        counts = stage(counts.groupBy("size", "start", "h").agg(F.sum("n").alias("n")), "scan")
         for size in ([1] if scan < shards else []) + list(filters):
             scans[size][scan] = counts.where(F.col("size") == size).drop("size")
         for size in (1, 2):
@@ -247,24 +276,27 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
             first = scan - shards + 1
             new = [sums(size, scan, (F.col("start") > first) & (F.col("n") >= full))]
             if first >= 0:
-                ended[size].append(stage(sums(size, scan, F.col("start") == first), "ended"))
-                new.append(ended[size][-1])
-            fresh = _filter(reduce(DataFrame.unionByName, new).where(F.col("since") == scan), size)
+                ended.append(stage(sums(size, scan, F.col("start") == first), "ended"))
+                new.append(ended[-1])
+            fresh = _filter(reduce(DataFrame.unionByName, new).where(F.col("since") == scan))
             if fresh.table.any():
                 reached[size][scan] = fresh
-    none = spark.createDataFrame([], "lang string, phrase string, n long, since int")
-    found = {size: reduce(DataFrame.unionByName, [none, *tables]) for size, tables in ended.items()}
+    held = {size: _Filter.union(list(reached[size].values())) for size in (1, 2)} | {3: _Filter.union([])}
     # Nothing waits for triples: one sum when all cycles have ended.
     triples = [df.withColumn("scan", F.lit(k)) for k, df in scans[3].items()]
     if triples:
         upto = [F.sum(F.when(F.col("scan") <= F.col("start") + k, F.col("n")).otherwise(0)) for k in range(shards)]
-        since = F.coalesce(*[F.when(x >= least, F.min("start") + k) for k, x in enumerate(upto)]).cast("int")
-        sizes = reduce(DataFrame.unionByName, triples).groupBy("lang", "phrase").agg(F.sum("n").alias("n"), since.alias("since"))
-        found[3] = stage(sizes.where(F.col("n") >= least), "triples")
-    else:
-        found[3] = none
-    words = reduce(DataFrame.unionByName, list(scans[1].values())).groupBy("lang").agg(F.sum("n").alias("n"))
-    return found, words
+        since = F.coalesce(*[F.when(x >= least, F.col("start") + k) for k, x in enumerate(upto)]).cast("int")
+        sizes = reduce(DataFrame.unionByName, triples).groupBy("start", "h").agg(F.sum("n").alias("n"), since.alias("since"))
+        ended.append(stage(sizes.where(F.col("n") >= least).select(F.lit(3).alias("size"), "h", "since"), "triples"))
+        held[3] = _filter(ended[-1])
+    spelled = corpus.select("lang", "text").mapInArrow(_spelled(held), "lang string, size int, phrase string, h long, n long")
+    spelled = spelled.groupBy("lang", "size", "phrase").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
+    spelled = stage(spelled.where((F.col("n") >= least) | (F.col("size") == 0)), "spelled")
+    begins = reduce(DataFrame.unionByName, ended).groupBy("size", "h").agg(F.min("since").alias("since"))
+    found = stage(spelled.join(begins, ["size", "h"]).select("size", "lang", "phrase", "n", "since"), "frequent")
+    words = spelled.where(F.col("size") == 0).select("lang", "n").where(F.col("n") > 0)
+    return {size: found.where(F.col("size") == size).drop("size") for size in (1, 2, 3)}, words
 
 
 def _score(a: str, left: str, right: str) -> Column:
