@@ -11,7 +11,7 @@ from tidemark.plans import core, hr, inventory, marketing, metrics, serving, sta
 from tidemark.plans.checks import CHECKS
 from tidemark.plans.models import Models
 from tidemark.plans.naming import target_schema
-from tidemark.session import new_folder
+from tidemark.session import new_folder, stage
 from tidemark.sources import generators
 from tidemark.sources.ingest import append, conform, literal_rows, read_raw, row_counts
 from tidemark.sources.sample import SampleTables
@@ -441,3 +441,18 @@ def test_stored_models_feed_their_consumers(spark, small):
     assert stored.order_amounts is stored.fact_orders
     lazy = Models(raw, raw.as_of)
     assert stored.rpt_monthly_revenue.collect() == lazy.rpt_monthly_revenue.collect()
+
+
+def test_balances_continue_from_stored_closing_ones(spark):
+    """A ledger loaded in three parts equals one window over all of it; NULL keys and quantities too."""
+    moves = [(i, [1, 2, None][i % 3], [7, None][i % 2], date(2001, 1, 1 + i // 4), [5, -3, None, 8][i * 7 % 4]) for i in range(100)]
+    schema = "movement_id long, product_id long, warehouse_id long, movement_date date, quantity_change long"
+    whole = inventory.running_balance(spark.createDataFrame(moves, schema))
+    got, opening = [], None
+    for part in (moves[:30], moves[30:31], moves[31:]):
+        load = spark.createDataFrame(part, schema)
+        rows = inventory.running_balance(load) if opening is None else inventory.continued_balance(load, opening)
+        got += rows.collect()
+        opening = stage(inventory.closing_balances(load, opening), "closing")
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole.collect()))
+    assert opening.count() == 6

@@ -1,3 +1,4 @@
+import glob
 import random
 from datetime import date, datetime, timedelta
 
@@ -6,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import joins, quality, snapshot
-from tidemark.operators.incremental import KeyedTable, latest_per_key, newer_than
+from tidemark.operators.incremental import ConcurrentWrite, KeyedTable, latest_per_key, newer_than
 from tidemark.operators.ordered import exact_percentiles, numbered, rank_ascending, running_sum
 from tidemark.session import new_folder
 
@@ -263,6 +264,42 @@ def test_dead_writes_are_not_seen(spark):
     assert rows(table.read().select("id", "v"), "id") == [(1, "a"), (2, "b")]
 
 
+def test_many_upserts_expire_to_one_load(spark):
+    data = [(i % 37, f"v{i}", stamp(1 + i // 8)) for i in range(200)]
+    table, whole = new_table(spark), new_table(spark)
+    for k in range(0, 200, 10):
+        table.upsert(spark.createDataFrame(data[k : k + 10], SCHEMA))
+    whole.upsert(spark.createDataFrame(data, SCHEMA))
+    want = rows(whole.read(), "id")
+    assert rows(table.read(), "id") == want and len(table.manifests()) == 20
+    earlier = rows(table.read(19), "id")
+    assert table.expire(keep=2) > 0 and table.manifests() == [19, 20]
+    assert rows(table.read(), "id") == want and rows(table.read(19), "id") == earlier != want
+    table.expire()
+    kept = glob.glob(f"{table.path}/_version=*/_writer=*/_range=*/_part=*")
+    assert len(kept) == len(table._folders()) and rows(table.read(), "id") == want and table.expire() == 0
+    table.upsert(spark.createDataFrame([(99, "new", stamp(30))], SCHEMA))
+    assert table.manifests() == [20, 21] and table.read().count() == len(want) + 1
+
+
+def test_of_two_writers_one_commits(spark):
+    table = new_table(spark)
+    assert table.expire() == 0
+    table.upsert(spark.createDataFrame([(1, "a", stamp(1))], SCHEMA))
+    begun = table._manifest()
+    table.upsert(spark.createDataFrame([(2, "b", stamp(2))], SCHEMA))
+    late = table._keyed(spark.createDataFrame([(3, "c", stamp(3))], SCHEMA))
+    with pytest.raises(ConcurrentWrite):
+        table._write(late, begun, whole=False)
+    assert [r[0] for r in rows(table.read(), "id")] == [1, 2] and table.manifests() == [1, 2]
+    assert not glob.glob(f"{table.path}/_manifest/draft*")
+    # The folder of the writer that lost goes with the old ones.
+    table.expire()
+    assert len(glob.glob(f"{table.path}/_version=2/_writer=*")) == 1
+    table.upsert(spark.createDataFrame([(3, "c", stamp(3))], SCHEMA))
+    assert table.read().count() == 3
+
+
 # History
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import next_version, stage, versions
+from tidemark.session import stage
 
 # Fixed value: the watermark of an empty target.
 EPOCH = "1900-01-01 00:00:00"
@@ -36,6 +39,10 @@ def latest_per_key(df: DataFrame, key: str, stamp: str) -> DataFrame:
     return newest.select(key, "_row.*").select(*df.columns)
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer has committed first; the table is as that writer left it."""
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A parquet table with one row per ``key``, kept in ranges of the key.
@@ -44,9 +51,13 @@ class KeyedTable:
     and rewrites only those; with keys in the order of loading, that is the tail. The
     first load, later batches and streams follow one rule: the greatest stamp wins.
 
-    Each write is a folder ``_version=n`` with the ranges it holds. The table is, for each
-    range, the last finished version of it. Nothing is overwritten: a write that dies
-    is never seen, and readers of the version before are not disturbed.
+    Each write is a folder ``_version=n/_writer=id`` with the ranges it holds, and a file
+    ``_manifest/n`` that names the folder of every range of the whole table. A reader takes
+    the last manifest and lists no versions. The manifest is moved into place and never
+    replaced, so of two writers that began at the same version one commits, and the other
+    raises ``ConcurrentWrite`` and may start again. A write that dies is never seen.
+    A range has one folder at any time, so reads stay as fast after many upserts; ``expire``
+    deletes folders that no kept manifest names.
     """
 
     spark: SparkSession
@@ -73,24 +84,61 @@ class KeyedTable:
     def stored(spark: SparkSession, path: str, schema: T.StructType, key: str) -> KeyedTable:
         """A table written before, with the ranges it was written with."""
         table = KeyedTable(spark, path, schema, key, 1)
-        widths = [int(folder.split("_range=")[1].split("/")[0]) for folder in table._folders().values()]
-        return replace(table, key_range=widths[0]) if widths else table
+        return replace(table, key_range=table._manifest()["width"] or 1)
 
     def _keyed(self, df: DataFrame) -> DataFrame:
         width = f"{self.key_range}L"
         return df.selectExpr("*", f"{width} as _range", f"{self.key} div {width} as _part")
 
+    def _path(self, name: str):
+        """A Hadoop path below the table."""
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def _fs(self):
+        return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def manifests(self) -> list[int]:
+        """The numbers of the committed versions that have not expired."""
+        fs, folder = self._fs(), self._path("_manifest")
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def _manifest(self, version: int | None = None) -> dict:
+        """A manifest, by default the last one: its number, the width of ranges, and the folder of each range."""
+        known = self.manifests()
+        if not known:
+            return {"version": 0, "width": 0, "folders": {}}
+        stream = self._fs().open(self._path(f"_manifest/{version or known[-1]}"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        found = json.loads(text)
+        return found | {"folders": {int(part): folder for part, folder in found["folders"].items()}}
+
+    def _commit(self, version: int, folders: dict[int, str]) -> None:
+        """Make a version the last one, unless another writer has taken its number."""
+        jvm, fs = self.spark._jvm, self._fs()
+        draft = self._path(f"_manifest/draft-{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        try:
+            out.write(bytearray(json.dumps({"version": version, "width": self.key_range, "folders": folders}).encode()))
+        finally:
+            out.close()
+        draft = fs.makeQualified(draft)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self.spark._jsc.hadoopConfiguration())
+        no_options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(draft, fs.makeQualified(self._path(f"_manifest/{version}")), no_options)
+        except Py4JJavaError as e:
+            fs.delete(draft, False)
+            if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                raise
+            raise ConcurrentWrite(f"version {version} of {self.path} was written by someone else") from e
+
     def _folders(self) -> dict[int, str]:
-        """For each range the folder of its last finished version: one listing of the table's folders."""
-        jvm = self.spark._jvm
-        fs = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        folders: dict[int, str] = {}
-        for v in versions(self.spark, self.path):
-            found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_version={v}/_range=*/_part=*")) or []
-            parts = {int(f.getPath().getName()[6:]): f.getPath().toString() for f in found}
-            # A version without a base holds the whole table.
-            folders = parts if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_version={v}/_whole")) else folders | parts
-        return folders
+        """For each range the folder that holds it now."""
+        return {part: f"{self.path}/{folder}" for part, folder in self._manifest()["folders"].items()}
 
     def _read(self, folders: list[str]) -> DataFrame:
         fields = [*self.schema.fields, T.StructField("_range", T.LongType()), T.StructField("_part", T.LongType())]
@@ -100,36 +148,68 @@ class KeyedTable:
         return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders).select(*schema.names)
 
     def exists(self) -> bool:
-        return bool(versions(self.spark, self.path))
+        return bool(self.manifests())
 
-    def read(self) -> DataFrame:
-        return self._read(list(self._folders().values())).drop("_range", "_part")
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table now, or as an earlier version that has not expired left it."""
+        folders = self._manifest(version)["folders"].values()
+        return self._read([f"{self.path}/{folder}" for folder in folders]).drop("_range", "_part")
 
-    def _write(self, df: DataFrame, whole: bool) -> None:
-        folder = next_version(self.spark, self.path)
-        if whole:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_whole")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
+    def _write(self, df: DataFrame, begun: dict, whole: bool) -> None:
+        """Write a version after ``begun``, the manifest that its rows were derived from."""
+        version = begun["version"] + 1
+        folder = f"_version={version}/_writer={uuid.uuid4().hex[:12]}"
         # Rebalance gathers a range's rows into few files and splits a large range over tasks.
-        df.hint("rebalance", "_part").write.mode("append").partitionBy("_range", "_part").parquet(folder)
+        df.hint("rebalance", "_part").write.partitionBy("_range", "_part").parquet(f"{self.path}/{folder}")
+        found = self._fs().globStatus(self._path(f"{folder}/_range=*/_part=*")) or []
+        parts = [f.getPath() for f in found]
+        written = {int(p.getName()[6:]): f"{folder}/{p.getParent().getName()}/{p.getName()}" for p in parts}
+        self._commit(version, written if whole else begun["folders"] | written)
+
+    def expire(self, keep: int = 1) -> int:
+        """Delete what only versions before the last ``keep`` need, and return how many range folders went.
+
+        Readers of a version that goes must have ended. Folders of writers that died go too; one
+        that is being written has a number above all manifests and stays.
+        """
+        known, fs = self.manifests(), self._fs()
+        if not known:
+            return 0
+        needed = {f for v in known[-max(1, keep) :] for f in self._manifest(v)["folders"].values()}
+        for v in known[: -max(1, keep)]:
+            fs.delete(self._path(f"_manifest/{v}"), False)
+        gone = 0
+        for writer in fs.globStatus(self._path("_version=*/_writer=*")) or []:
+            writer = writer.getPath()
+            if int(writer.getParent().getName()[len("_version=") :]) > known[-1]:
+                continue
+            name = f"{writer.getParent().getName()}/{writer.getName()}"
+            parts = [f.getPath() for f in fs.globStatus(self._path(f"{name}/_range=*/_part=*")) or []]
+            old = [p for p in parts if f"{name}/{p.getParent().getName()}/{p.getName()}" not in needed]
+            gone += len(old)
+            for p in [writer] if len(old) == len(parts) else old:
+                fs.delete(p, True)
+        return gone
 
     def refresh(self, rows: DataFrame, stamp: str = "loaded_at") -> None:
         """Replace the whole table."""
-        self._write(self._keyed(latest_per_key(rows, self.key, stamp)), whole=True)
+        begun = self._manifest()
+        self._write(self._keyed(latest_per_key(rows, self.key, stamp)), begun, whole=True)
 
     def upsert(self, updates: DataFrame, stamp: str = "loaded_at") -> None:
         """Insert new keys and replace the rows of known ones by newer versions.
 
         Only the ranges of the updates are read and written. The driver learns their
-        numbers, of which there are no more than folders that it lists anyway.
+        numbers, of which there are no more than folders that the manifest names anyway.
         """
-        if not self.exists():
-            self.refresh(updates, stamp)
+        begun = self._manifest()
+        if not begun["version"]:
+            self._write(self._keyed(latest_per_key(updates, self.key, stamp)), begun, whole=True)
             return
         updates = stage(self._keyed(updates), "updates")
         touched = {row["_part"] for row in updates.select("_part").distinct().toLocalIterator()}
         if not touched:
             return
-        old = self._read([folder for part, folder in self._folders().items() if part in touched])
+        old = self._read([f"{self.path}/{folder}" for part, folder in begun["folders"].items() if part in touched])
         rows = old.unionByName(updates).drop("_range", "_part")
-        self._write(self._keyed(latest_per_key(rows, self.key, stamp)), whole=False)
+        self._write(self._keyed(latest_per_key(rows, self.key, stamp)), begun, whole=False)

@@ -39,6 +39,27 @@ def running_balance(fact: DataFrame) -> DataFrame:
     )
 
 
+def closing_balances(balanced: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """(product_id, warehouse_id, balance) after a load of the ledger, which is an aggregate of its own rows."""
+    sums = balanced.groupBy("product_id", "warehouse_id").agg(F.sum("quantity_change").alias("balance"))
+    if opening is None:
+        return sums
+    return opening.unionByName(sums).groupBy("product_id", "warehouse_id").agg(F.sum("balance").alias("balance"))
+
+
+def continued_balance(fact: DataFrame, opening: DataFrame) -> DataFrame:
+    """``running_balance`` of a load whose movements all follow those that ``opening`` sums up.
+
+    Reads the load and one row per product and warehouse, not the earlier ledger. A NULL
+    product or warehouse is a group like any other.
+    """
+    at = [F.struct(F.col(k).alias("k")).alias(f"_{k}") for k in ("product_id", "warehouse_id")]
+    before = opening.select(*at, F.col("balance").alias("_opening"))
+    rows = running_balance(fact).select("*", *at).join(before, ["_product_id", "_warehouse_id"], "left")
+    total = F.coalesce(F.col("_opening") + F.col("running_balance"), "running_balance", "_opening")
+    return rows.withColumn("running_balance", total).select(*fact.columns, "running_balance")
+
+
 def stock_totals(movements: DataFrame) -> DataFrame:
     """Balance and last movement date per product and warehouse.
 
