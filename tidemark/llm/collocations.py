@@ -217,9 +217,9 @@ def _filter(hashes: DataFrame) -> _Filter:
     low = (1 << _BITS) - 1
     slots = hashes.select(F.expr(f"explode(array(h & {low}L, shiftrightunsigned(h, 32) & {low}L)) as slot"))
     bits = slots.groupBy(F.expr("shiftright(slot, 6) as place")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int))) as bits"))
-    found = bits.toPandas()
+    found = bits.toArrow()  # up to half a million rows: as Python objects they would fill the driver
     table = np.zeros(1 << (_BITS - 6), np.uint64)
-    table[found["place"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    table[found["place"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return _Filter(table)
 
 
