@@ -98,6 +98,15 @@ def test_filters_forget_nothing():
     assert some(np.random.default_rng(2).integers(0, 2**64, 5000, np.uint64)).mean() < 0.01
 
 
+def test_crowded_filters_lose_no_phrase(spark, odd, monkeypatch):
+    """In filters of 512 bits most phrases are held by mistake; what begins sooner is still counted for its full cycle."""
+    monkeypatch.setattr(co, "_BITS", 9)
+    pick = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    docs = odd + [(" ".join(pick.choices(words, range(60, 0, -1), k=40)), "en", "own", 1) for _ in range(300)]
+    assert sorted(map(tuple, co.collocations(spark.createDataFrame(docs, SCHEMA)).collect())) == brute(docs)
+
+
 def test_query_equals_sql(spark, small):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{small}/documents.parquet'")

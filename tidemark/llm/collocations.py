@@ -7,9 +7,11 @@ scanned once with it: one full cycle. Words, pairs and triples are so counted in
 scanning ends when no phrase is left within its cycle.
 
 The scans count 64-bit hashes of phrases: numpy counts those of a block, Spark adds them up as whole
-numbers. Bloom filters of a fixed size, one for each scan that found new frequent phrases, tell a
-task when a longer phrase begins: in the scan after the first filters that hold its subphrases.
-Phrases of equal hashes, or held by a filter by mistake, only make longer ones begin sooner. A last
+numbers. Bloom filters of a fixed size, one for each scan that found new frequent phrases, hold all
+phrases that were frequent by then and tell a task when a longer phrase begins: in the scan after the
+first filters that hold its subphrases. A filter holds whatever an earlier one does, by mistake too,
+so a phrase begins in the same scan whichever filters a task still has: phrases of equal hashes, or
+held by mistake, only make longer ones begin sooner, and each is counted for its full cycle. A last
 pass spells the phrases whose hash got frequent and counts them as strings, so no count rests on a
 hash; rare phrases, which are most, never travel as strings.
 """
@@ -49,12 +51,12 @@ class _Filter:
         self.table = table
 
     @staticmethod
-    def slots(h: np.ndarray) -> np.ndarray:
-        low = np.uint64((1 << _BITS) - 1)
+    def slots(h: np.ndarray, size: int = 0) -> np.ndarray:
+        low = np.uint64((size or 1 << _BITS) - 1)
         return np.concatenate([h & low, (h >> np.uint64(32)) & low]).astype(np.int64)
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        at = self.slots(h)
+        at = self.slots(h, 64 * len(self.table))
         found = (self.table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
         return (found[: len(h)] & found[len(h) :]).astype(bool)
 
@@ -244,7 +246,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
 
     scans: dict[int, dict[int, DataFrame]] = {1: {}, 2: {}, 3: {}}
     ended: list[DataFrame] = []
-    reached: dict[int, dict[int, _Filter]] = {1: {}, 2: {}}  # by scan, the phrases that got frequent in it
+    reached: dict[int, dict[int, _Filter]] = {1: {}, 2: {}}  # by scan that found some, the phrases frequent by its end
 
     def sums(size: int, scan: int, which: Column) -> DataFrame:
         """Hashes that are frequent by now, with the scan of the cycle in which their well-filled scans, or its end, made them so."""
@@ -261,8 +263,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
         for size in (2, 3):
             recent = {k: f for k, f in reached[size - 1].items() if k + 1 in begun}
             if recent:
-                older = _Filter.union([f for k, f in reached[size - 1].items() if k not in recent])
-                filters[size] = recent | ({begun.start - 2: older} if older.table.any() else {})
+                older = [f for k, f in reached[size - 1].items() if k not in recent][-1:]
+                filters[size] = recent | {begun.start - 2: f for f in older}
         if scan >= shards and not filters:
             break
         shard = corpus.where(F.col("shard") == scan % shards).select("lang", "text")
@@ -280,8 +282,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
                 new.append(ended[-1])
             fresh = _filter(reduce(DataFrame.unionByName, new).where(F.col("since") == scan))
             if fresh.table.any():
-                reached[size][scan] = fresh
-    held = {size: _Filter.union(list(reached[size].values())) for size in (1, 2)} | {3: _Filter.union([])}
+                reached[size][scan] = _Filter.union([*list(reached[size].values())[-1:], fresh])
+    held = {size: _Filter.union(list(reached[size].values())[-1:]) for size in (1, 2)} | {3: _Filter.union([])}
     # Nothing waits for triples: one sum when all cycles have ended.
     triples = [df.withColumn("scan", F.lit(k)) for k, df in scans[3].items()]
     if triples:
