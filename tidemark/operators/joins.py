@@ -10,6 +10,8 @@ from tidemark.session import spread, stage
 
 # So many candidates travel to every task as one array; longer lists meet the rows page by page.
 MOST_CANDIDATES = 100_000
+# Up to so many are written into the expression, which Spark then compiles; a lambda over an array it does not.
+FEW_CANDIDATES = 16
 
 
 def interval_join(points: DataFrame, at: str, intervals: DataFrame, start: str, end: str) -> DataFrame:
@@ -83,6 +85,11 @@ def choose_by_hash(rows: DataFrame, key: str, candidates: DataFrame, name: str)
         return F.array_min(F.transform("_ids", lambda c: F.struct(stable_digits(F.col(key), c).alias("hash"), c.alias(name))))
 
     ids, n = _whole(candidates, name)
+    if 1 < n <= FEW_CANDIDATES:
+        known = [row[name] for row in ids.collect()]
+        if None not in known:
+            each = [F.struct(stable_digits(F.col(key), F.lit(c)).alias("hash"), F.lit(c).cast("long").alias(name)) for c in known]
+            return rows.withColumn(name, F.least(*each).getField(name))
     if n <= MOST_CANDIDATES:
         return rows.withColumn("_ids", _listed(ids, name)).withColumn(name, best().getField(name)).drop("_ids")
     numbered = stage(spread(rows).withColumn("_row", F.monotonically_increasing_id()), "rows")

@@ -68,7 +68,7 @@ class Models:
     @cached_property
     def order_lines(self) -> DataFrame:
         """Staged order items for models that do not use their ids; cheaper where the source makes the ids."""
-        return staging.order_items(getattr(self.raw, "order_lines", self.raw.order_items))
+        return staging.order_items(self._lines("order_lines", "order_items"))
 
     @cached_property
     def stg_orders(self) -> DataFrame:
@@ -85,7 +85,11 @@ class Models:
     @cached_property
     def stock_lines(self) -> DataFrame:
         """Staged movements for models that do not use their ids; cheaper where the source makes the ids."""
-        return staging.stock_movements(getattr(self.raw, "stock_lines", self.raw.stock_movements))
+        return staging.stock_movements(self._lines("stock_lines", "stock_movements"))
+
+    def _lines(self, lines: str, table: str) -> DataFrame:
+        """The source's rows without ids; where it has none, its table. Only the one that is read is built."""
+        return getattr(self.raw, lines if hasattr(self.raw, lines) else table)
 
     @cached_property
     def stg_warehouses(self) -> DataFrame:
