@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import COMPACT, stage
 
 
 def with_value_block(df: DataFrame, value: str) -> DataFrame:
@@ -79,7 +79,7 @@ def numbered(
     if copies is not None:
         rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies).cast("long"))))
     # The number of the task above 33 bits, and the row's place in it below.
-    rows = stage(rows.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    rows = stage(rows.withColumn("_place", F.monotonically_increasing_id()), "numbered", **COMPACT)
     task, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
     upto = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     before = rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))

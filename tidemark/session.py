@@ -58,14 +58,18 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), "tidemark", app, f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+# Options of large tables of ids: whole numbers are written as differences, which for ordered ids take hardly a bit.
+COMPACT = {"parquet.writer.version": "v2", "compression": "zstd"}
+
+
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage with a columnar table that survives the loss of any
     executor, so several consumers read it instead of recomputing it.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

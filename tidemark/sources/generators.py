@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import add_weeks, hash_bucket, stable_hash, week_start, weeks_crossed
 from tidemark.operators.joins import choose_by_hash, interval_join, with_every
 from tidemark.operators.ordered import numbered, running_sum
-from tidemark.session import spread, stage
+from tidemark.session import COMPACT, spread, stage
 
 # Cost per click in cents and clicks per thousand impressions by channel.
 COST_PER_CLICK = {
@@ -173,11 +173,13 @@ def ledger(
     return restocks.unionByName(corrections).unionByName(sales)
 
 
-def stock_movements(rows: DataFrame) -> DataFrame:
+def stock_movements(
+    products: DataFrame, warehouses: DataFrame, items: DataFrame, orders: DataFrame, first_restock: date
+) -> DataFrame:
     """The ledger with ids by date, so that a later load has the greater ids; within a date by type, source and warehouse.
 
     Staged first, as the range shuffle reads its rows twice, once to sample them.
     """
-    rows = stage(rows, "ledger")
+    rows = stage(ledger(products, warehouses, items, orders, first_restock), "ledger", **COMPACT)
     order = [F.col("_source"), F.col("warehouse_id"), F.col("product_id"), F.col("quantity_change")]
     return numbered(rows, "movement_id", F.col("movement_date"), F.col("movement_type"), order)

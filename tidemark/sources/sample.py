@@ -167,16 +167,14 @@ class SampleTables:
     def order_items(self) -> DataFrame:
         """Line items, numbered in the order of all the columns used.
 
-        The given line numbers repeat within an order. Equal lines are counted first
-        and take as many numbers as they are, so that a hot order, part or line is
-        no more than its unlike rows when they are put in order.
+        The given line numbers repeat within an order. Equal lines may take their numbers
+        in any order, so they are put in order by their place in the file: a hot order,
+        part or line spreads over as many tasks as it has rows for, in one shuffle.
         """
         used = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
-        equal = self.given("lineitem").groupBy(*used).agg(F.count(F.lit(1)).alias("_n"))
-        items = numbered(
-            equal, "_item", F.col("l_orderkey"), F.col("l_partkey"), [F.col(c) for c in used[2:]], "_n", every=True
-        )
-        return self._lines(items, "_item")
+        lines = self.given("lineitem").select(*used, F.monotonically_increasing_id().alias("_line"))
+        order = [F.col(c) for c in [*used[2:], "_line"]]
+        return self._lines(numbered(lines, "_item", F.col("l_orderkey"), F.col("l_partkey"), order).drop("_line"), "_item")
 
     @cached_property
     def order_lines(self) -> DataFrame:
@@ -256,14 +254,15 @@ class SampleTables:
             generators.order_attribution(self.orders, self.campaigns, self.as_of), "order_attribution"
         )
 
-    def _ledger(self) -> DataFrame:
-        return generators.ledger(self.products, self.warehouses, self.order_items, self.orders, FIRST_RESTOCK)
+    def _booked(self) -> tuple:
+        """What the ledger is made of."""
+        return self.products, self.warehouses, self.order_items, self.orders, FIRST_RESTOCK
 
     @cached_property
     def stock_movements(self) -> DataFrame:
-        return conform(generators.stock_movements(self._ledger()), "stock_movements")
+        return conform(generators.stock_movements(*self._booked()), "stock_movements")
 
     @cached_property
     def stock_lines(self) -> DataFrame:
         """The ledger without its ids, for sums that need no order of movements."""
-        return conform(self._ledger().withColumn("movement_id", F.lit(None).cast("long")), "stock_movements")
+        return conform(generators.ledger(*self._booked()).withColumn("movement_id", F.lit(None).cast("long")), "stock_movements")
