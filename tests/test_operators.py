@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import joins, quality, snapshot
+from tidemark.operators import incremental, joins, quality, snapshot
 from tidemark.operators.incremental import ConcurrentWrite, KeyedTable, latest_per_key, newer_than
 from tidemark.operators.ordered import exact_percentiles, numbered, rank_ascending, running_sum
 from tidemark.session import new_folder
@@ -300,6 +300,34 @@ def test_of_two_writers_one_commits(spark):
     assert table.read().count() == 3
 
 
+def test_rows_of_unlike_keys_stay_where_they_are(spark, monkeypatch):
+    """Only keys that repeat, or more ranges than a task keeps open, let whole rows be shuffled."""
+    table, settled = new_table(spark), []
+    real = incremental.latest_per_key
+    monkeypatch.setattr(incremental, "latest_per_key", lambda *a: settled.append(1) or real(*a))
+    table.upsert(spark.createDataFrame([(i, "a", stamp(1)) for i in range(25)], SCHEMA))
+    table.upsert(spark.createDataFrame([(i, "b", stamp(2)) for i in range(25, 45)], SCHEMA))
+    assert not settled and table.read().count() == 45
+    table.refresh(table.read())
+    assert not settled and table.read().count() == 45
+    table.upsert(spark.createDataFrame([(7, "new", stamp(3))], SCHEMA))
+    assert settled and rows(table.read().where("id = 7").select("id", "v"), "id") == [(7, "new")]
+    monkeypatch.setattr(incremental, "MOST_OPEN", 2)
+    before = len(settled)
+    table.refresh(table.read())
+    assert len(settled) > before and table.read().count() == 45
+    assert len(glob.glob(f"{table.path}/_version=5/_writer=*")) == 1
+
+
+def test_few_candidates_are_compiled_and_choose_the_same(spark, monkeypatch):
+    items = spark.createDataFrame([(i,) for i in range(300)] + [(None,)], "id long")
+    places = spark.createDataFrame([(6000 + i,) for i in range(5)], "place long")
+    few = joins.choose_by_hash(items, "id", places, "place")
+    assert "lambda" not in few._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(joins, "FEW_CANDIDATES", 0)
+    assert sorted(few.collect(), key=str) == sorted(joins.choose_by_hash(items, "id", places, "place").collect(), key=str)
+
+
 # History
 
 

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import stage
+from tidemark.session import COMPACT, spread, stage
 
 # Fixed value: the watermark of an empty target.
 EPOCH = "1900-01-01 00:00:00"
+# A task that writes up to so many ranges keeps a file of each open; rows of more ranges are gathered by a shuffle.
+MOST_OPEN = 100
 
 
 def newer_than(source: DataFrame, target: DataFrame, stamp: str = "loaded_at") -> DataFrame:
@@ -155,17 +157,46 @@ class KeyedTable:
         folders = self._manifest(version)["folders"].values()
         return self._read([f"{self.path}/{folder}" for folder in folders]).drop("_range", "_part")
 
+    def _put(self, df: DataFrame, version: int) -> tuple[str, dict[int, str]]:
+        """Write rows below a folder of their own, and name the folder of each range; nobody reads them before a commit."""
+        folder, conf = f"_version={version}/_writer={uuid.uuid4().hex[:12]}", df.sparkSession.conf
+        setting = "spark.sql.maxConcurrentOutputFileWriters"
+        before = conf.get(setting)
+        conf.set(setting, str(MOST_OPEN))  # else each task sorts its rows by range
+        try:
+            df.write.options(**COMPACT).partitionBy("_range", "_part").parquet(f"{self.path}/{folder}")
+        finally:
+            conf.set(setting, before)
+        found = self._fs().globStatus(self._path(f"{folder}/_range=*/_part=*")) or []
+        parts = [f.getPath() for f in found]
+        return folder, {int(p.getName()[6:]): f"{folder}/{p.getParent().getName()}/{p.getName()}" for p in parts}
+
     def _write(self, df: DataFrame, begun: dict, whole: bool) -> None:
         """Write a version after ``begun``, the manifest that its rows were derived from."""
         version = begun["version"] + 1
-        folder = f"_version={version}/_writer={uuid.uuid4().hex[:12]}"
-        # Rebalance gathers a range's rows into few files and splits a large range over tasks.
-        df.hint("rebalance", "_part").write.partitionBy("_range", "_part").parquet(f"{self.path}/{folder}")
-        found = self._fs().globStatus(self._path(f"{folder}/_range=*/_part=*")) or []
-        parts = [f.getPath() for f in found]
-        written = {int(p.getName()[6:]): f"{folder}/{p.getParent().getName()}/{p.getName()}" for p in parts}
+        _, written = self._put(df, version)
         self._commit(version, written if whole else begun["folders"] | written)
 
+    def _repeats(self, df: DataFrame) -> bool:
+        """Whether some key has several rows. Only the keys are shuffled, and before they are counted, as few combine."""
+        keys = spread(df.select(self.key), self.key).groupBy(self.key).agg(F.count(F.lit(1)).alias("_n"))
+        return keys.where(F.col("_n") > 1).count() > 0
+
+    def _settled(self, df: DataFrame, stamp: str) -> DataFrame:
+        """One row per key. Rebalance gathers a range's rows into few files and splits a large range over tasks."""
+        return self._keyed(latest_per_key(df, self.key, stamp)).hint("rebalance", "_part")
+
+    def _replace(self, rows: DataFrame, begun: dict, stamp: str) -> None:
+        """Write the whole table where its rows are; they are shuffled only if keys repeat or ranges are many."""
+        version = begun["version"] + 1
+        folder, written = self._put(self._keyed(rows), version)
+        found = self._read([f"{self.path}/{f}" for f in written.values()])
+        if len(written) > MOST_OPEN or self._repeats(found):
+            first = folder
+            _, written = self._put(self._settled(found.drop("_range", "_part"), stamp), version)
+            self._fs().delete(self._path(first), True)
+        self._commit(version, written)
+
     def expire(self, keep: int = 1) -> int:
         """Delete what only versions before the last ``keep`` need, and return how many range folders went.
 
@@ -193,23 +224,24 @@ class KeyedTable:
 
     def refresh(self, rows: DataFrame, stamp: str = "loaded_at") -> None:
         """Replace the whole table."""
-        begun = self._manifest()
-        self._write(self._keyed(latest_per_key(rows, self.key, stamp)), begun, whole=True)
+        self._replace(rows, self._manifest(), stamp)
 
     def upsert(self, updates: DataFrame, stamp: str = "loaded_at") -> None:
         """Insert new keys and replace the rows of known ones by newer versions.
 
         Only the ranges of the updates are read and written. The driver learns their
         numbers, of which there are no more than folders that the manifest names anyway.
+        Rows move between tasks only if keys repeat, in the updates or in the ranges they touch.
         """
         begun = self._manifest()
         if not begun["version"]:
-            self._write(self._keyed(latest_per_key(updates, self.key, stamp)), begun, whole=True)
+            self._replace(updates, begun, stamp)
             return
-        updates = stage(self._keyed(updates), "updates")
+        updates = stage(self._keyed(updates), "updates", **COMPACT)
         touched = {row["_part"] for row in updates.select("_part").distinct().toLocalIterator()}
         if not touched:
             return
         old = self._read([f"{self.path}/{folder}" for part, folder in begun["folders"].items() if part in touched])
         rows = old.unionByName(updates).drop("_range", "_part")
-        self._write(self._keyed(latest_per_key(rows, self.key, stamp)), begun, whole=False)
+        settle = len(touched) > MOST_OPEN or self._repeats(rows)
+        self._write(self._settled(rows, stamp) if settle else self._keyed(rows), begun, whole=False)

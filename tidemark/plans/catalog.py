@@ -103,17 +103,17 @@ def incremental_ad_spend(spark: SparkSession, folder: str) -> DataFrame:
     return plain(table.read())
 
 
+_IN_FIRST_LOAD = f"loaded_at <= timestamp_ntz '{LEDGER_FIRST_LOAD}' and movement_type <> 'return'"
+
+
 def _ledger_loads(m: Models) -> tuple[DataFrame, list[DataFrame]]:
     """The whole ledger, and what the source shows at the first and second load.
 
     Returns booked before the first load reach the source after it: they are
     older than the watermark then.
     """
-    ledger = stage(m.raw.stock_movements, "stock-movements")
-    first = ledger.where(
-        (F.col("loaded_at") <= F.lit(LEDGER_FIRST_LOAD).cast("timestamp_ntz")) & (F.col("movement_type") != "return")
-    )
-    return ledger, [first, ledger]
+    ledger = m.raw.stock_movements
+    return ledger, [ledger.where(_IN_FIRST_LOAD), ledger]
 
 
 def _load_ledger(spark: SparkSession, m: Models) -> tuple[KeyedTable, DataFrame]:
@@ -146,7 +146,7 @@ def stream_incremental_movements(spark: SparkSession, folder: str) -> DataFrame:
     """The same ledger as files landing in two rounds, drained by a stream after each."""
     m = models(spark, folder)
     ledger, (first, _) = _ledger_loads(m)
-    rounds = [first, ledger.join(first.select("movement_id"), "movement_id", "left_anti")]
+    rounds = [first, ledger.where(f"not coalesce({_IN_FIRST_LOAD}, false)")]
 
     def enrich(movements: DataFrame) -> DataFrame:
         return inventory.fact_stock_movements(
