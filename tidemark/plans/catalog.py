@@ -317,12 +317,21 @@ def _scalar_round(m: Models) -> DataFrame:
 # Data quality
 
 
+# The generated raw tables that checked tables other than raw ones read, with their ids.
+_GENERATED = {
+    "fact_ad_spend": {"ad_spend"},
+    "fact_stock_movements": {"stock_movements"},
+    "rpt_campaign_performance": {"ad_spend", "order_attribution"},
+}
+
+
 def checked_tables(spark: SparkSession, folder: str, checks: list[quality.Check]) -> dict[str, DataFrame]:
     """The tables the checks name, with the columns checked.
 
     A table that several checks read is staged, with those columns alone; one that a
-    single pass reads is not. The generated raw tables, which several marts are made
-    of, are staged once.
+    single pass reads is not. The generated raw tables that the named ones are made of
+    are staged once, the ledger without its ids where no check reads them; the others are
+    not built. Stock levels that reorder alerts are made of are stored.
     """
     m = models(spark, folder)
     columns: dict[str, dict[str, None]] = {}
@@ -333,9 +342,17 @@ def checked_tables(spark: SparkSession, folder: str, checks: list[quality.Check]
         if c.parent:
             columns.setdefault(c.parent, {})[c.parent_column] = None
             passes.setdefault(c.parent, set()).add(c)
+    sources = {name: {name[4:]} if name.startswith("raw.") else _GENERATED.get(name, set()) for name in columns}
+    wanted = {table for name in sources for table in sources[name]}
+    numbers = any("movement_id" in columns.get(name, ()) for name in ("raw.stock_movements", "fact_stock_movements"))
     for tables in (("order_items",), ("ad_spend", "order_attribution", "stock_movements")):
-        for table, stored in stage_all({table: getattr(m.raw, table) for table in tables}).items():
+        source = {t: t if t != "stock_movements" or numbers else "stock_lines" for t in tables if t in wanted}
+        for table, stored in stage_all({t: getattr(m.raw, name) for t, name in source.items()}).items():
             setattr(m.raw, table, stored)
+            if table == "stock_movements":
+                m.raw.stock_lines = stored
+    if {"rpt_current_stock_levels", "rpt_inventory_reorder_alerts"} <= set(columns):
+        m.store("rpt_current_stock_levels")
 
     def narrow(name: str) -> DataFrame:
         df = getattr(m.raw, name[4:]) if name.startswith("raw.") else getattr(m, name)
@@ -354,9 +371,9 @@ QUERIES: dict[str, Query] = {
     **{name: _model(name) for name in STAGING},
     **{name: _model(name) for name in MARTS},
     "stock_running_balance": _over(
-        lambda m: inventory.running_balance(m.store("fact_stock_movements").fact_stock_movements)
+        lambda m: inventory.balanced_ledger(m.stg_stock_movements, m.stg_products, m.stg_warehouses)
     ),
-    "stock_levels_agg_form": _over(lambda m: inventory.stock_totals(m.stg_stock_movements)),
+    "stock_levels_agg_form": _over(lambda m: inventory.stock_totals(m.stock_lines)),
     "sales_velocity": _model("sales_velocity"),
     "salary_distribution": _over(lambda m: hr.salary_distribution(m.dim_employees)),
     "top_customers_by_ltv": _over(lambda m: core.top_customers(m.dim_customers)),
