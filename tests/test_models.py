@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans import core, hr, inventory, marketing, metrics, serving, staging
+from tidemark.plans.catalog import QUERIES
 from tidemark.plans.checks import CHECKS
 from tidemark.plans.models import Models
 from tidemark.plans.naming import target_schema
 from tidemark.session import new_folder, stage
-from tidemark.sources import generators
+from tidemark.sources import generators, sample
 from tidemark.sources.ingest import append, conform, literal_rows, read_raw, row_counts
 from tidemark.sources.sample import SampleTables
 from tidemark.sources.schemas import RAW
@@ -456,3 +457,49 @@ def test_balances_continue_from_stored_closing_ones(spark):
         opening = stage(inventory.closing_balances(load, opening), "closing")
     assert sorted(map(tuple, got)) == sorted(map(tuple, whole.collect()))
     assert opening.count() == 6
+
+
+def test_lines_without_ids_build_no_ids(spark, small, monkeypatch):
+    def none(*a):
+        raise AssertionError("ids were built")
+
+    raw = SampleTables(spark, small)
+    with monkeypatch.context() as m:
+        m.setattr(generators, "stock_movements", none)
+        assert Models(raw, raw.as_of).stock_lines.columns[0] == "movement_id"
+        assert QUERIES["stock_levels_agg_form"](spark, small).count() > 0
+        m.setattr(sample, "numbered", none)
+        assert Models(SampleTables(spark, small), raw.as_of).order_lines.count() > 0
+
+
+def test_checks_build_only_what_they_name(spark, small, monkeypatch):
+    """Accepted values and references need no movement ids; unique combinations no ledger table at all."""
+
+    def none(*a):
+        raise AssertionError("ids were built")
+
+    monkeypatch.setattr(generators, "stock_movements", none)
+    for kind in ("accepted_values", "relationships", "unique_combination"):
+        assert QUERIES[f"dq_{kind}"](spark, small).count() > 0
+
+
+def test_equal_lines_are_numbered_in_one_shuffle(spark, small, monkeypatch):
+    seen, real = [], sample.numbered
+    monkeypatch.setattr(sample, "numbered", lambda df, *a, **k: seen.append(df) or real(df, *a, **k))
+    items = SampleTables(spark, small).order_items
+    assert "Aggregate" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    ids = sorted(r.order_item_id for r in items.select("order_item_id").collect())
+    assert ids == list(range(1, len(ids) + 1))
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_balances_are_summed_before_attributes_join(spark, copies, monkeypatch):
+    moves = [(i, [1, 2, None][i % 3], 7, date(2001, 1, 1 + i // 4), "sale", [5, -3, None][i % 3 - 1], datetime(2001, 1, 1)) for i in range(40)]
+    moves = spark.createDataFrame(moves, "movement_id long, product_id long, warehouse_id long, movement_date date, movement_type string, quantity_change long, loaded_at timestamp_ntz")
+    products = table(spark, "products", *[dict(product_id=1)] * copies, dict(product_id=2))
+    places = table(spark, "warehouses", dict(warehouse_id=7))
+    want = inventory.running_balance(inventory.fact_stock_movements(moves, products, places)).collect()
+    staged = []
+    monkeypatch.setattr(inventory, "stage", lambda df, label: staged.append(label) or df)
+    got = inventory.balanced_ledger(moves, products, places)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want)) and len(staged) == copies - 1

@@ -15,6 +15,10 @@ LEAD_TIME_DAYS = 14
 
 def fact_stock_movements(movements: DataFrame, products: DataFrame, warehouses: DataFrame) -> DataFrame:
     """Every movement with product and warehouse attributes."""
+    return _with_attributes(movements, products, warehouses)
+
+
+def _with_attributes(movements: DataFrame, products: DataFrame, warehouses: DataFrame, *more: str) -> DataFrame:
     product = products.select("product_id", "product_name", "category_name")
     warehouse = warehouses.select("warehouse_id", "warehouse_name", F.col("state").alias("warehouse_state"))
     return (
@@ -22,7 +26,7 @@ def fact_stock_movements(movements: DataFrame, products: DataFrame, warehouses:
         .join(warehouse, "warehouse_id", "left")
         .select(
             "movement_id", "product_id", "product_name", "category_name", "warehouse_id", "warehouse_name",
-            "warehouse_state", "movement_date", "movement_type", "quantity_change", "loaded_at",
+            "warehouse_state", "movement_date", "movement_type", "quantity_change", "loaded_at", *more,
         )
     )
 
@@ -39,6 +43,20 @@ def running_balance(fact: DataFrame) -> DataFrame:
     )
 
 
+def balanced_ledger(movements: DataFrame, products: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """``running_balance`` of a fact that is not stored.
+
+    While products and warehouses are known once each, a movement is one row of the fact, so the
+    balances are summed over the narrow movements, and attributes join the result. Else the fact
+    has a row per version of them, and its rows are summed.
+    """
+    keys = [products.select(F.lit("p").alias("of"), F.col("product_id").alias("k")), warehouses.select(F.lit("w"), "warehouse_id")]
+    several = keys[0].union(keys[1]).groupBy("of", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and k is not null")
+    if several.isEmpty():
+        return _with_attributes(running_balance(movements), products, warehouses, "running_balance")
+    return running_balance(stage(fact_stock_movements(movements, products, warehouses), "fact_stock_movements"))
+
+
 def closing_balances(balanced: DataFrame, opening: DataFrame | None = None) -> DataFrame:
     """(product_id, warehouse_id, balance) after a load of the ledger, which is an aggregate of its own rows."""
     sums = balanced.groupBy("product_id", "warehouse_id").agg(F.sum("quantity_change").alias("balance"))
