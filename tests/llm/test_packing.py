@@ -130,3 +130,27 @@ def test_a_shrunk_index_answers_the_same():
             small.shrink(unused)
         assert small.neighbours(seed, unused).tolist() == whole.neighbours(seed, unused).tolist()
         assert small.neighbours(seed, unused, most=5).tolist() == whole.neighbours(seed, unused, most=5).tolist()
+
+
+def test_equal_chunks_are_encoded_once(monkeypatch):
+    import tiktoken
+
+    seen = []
+    for name in ("encode", "encode_to_numpy"):
+        plain = getattr(tiktoken.Encoding, name)
+        monkeypatch.setattr(tiktoken.Encoding, name, lambda self, text, *a, _plain=plain, **b: seen.append(len(text)) or _plain(self, text, *a, **b))
+    texts = ["first " + "the same old story, again. " * 400 + f"and number {i}" for i in range(50)]
+    got = packing.byte_bpe(tokenizer_path())(texts)
+    assert [[*map(int, x), 1] for x in got] == reference(texts)
+    assert sum(seen) < sum(map(len, texts)) / 100
+
+
+def test_chunks_have_the_ids_of_whole_texts():
+    plain = Tokenizer.from_file(tokenizer_path())
+    parts = [*" \n\t\r\x0b\x0c\x1c\x7f\x85\xa0　  aStéß中文ё😀²½…’.$'|<", "  ", " \n ", "the", "'s", "'ll", "12", "***", " rent", "<|endoftext|>", "<|endoftext", "|>"]
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(rng.choice(parts, rng.choice([4, len(parts)])), rng.choice([0, 1, 2, 9, 40]))) for _ in range(3000)]
+    got = packing.byte_bpe(tokenizer_path(), True)(texts)
+    for text, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    assert packing.byte_bpe(tokenizer_path())([]) == [] and [len(x) for x in packing.byte_bpe(tokenizer_path())(["", ""])] == [0, 0]
