@@ -115,3 +115,30 @@ def test_query_equals_sql(spark, small):
     got = op12_collocations(spark, small)
     assert sorted(got.columns) == sorted(names)
     assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall())
+
+
+def test_scans_store_rows_per_bucket_not_per_phrase(spark, monkeypatch):
+    stored, plain = [], co.stage
+    monkeypatch.setattr(co, "stage", lambda df, label: stored.append((label, plain(df, label))) or stored[-1][1])
+    pick = random.Random(4)
+    docs = [(" ".join(f"w{int(9000 * pick.random() ** 3)}" for _ in range(60)), pick.choice(["en", "de"]), "own", 1) for _ in range(600)]
+    assert sorted(map(tuple, co.collocations(spark.createDataFrame(docs, SCHEMA).repartition(4)).collect())) == brute(docs)
+    scans = [df for label, df in stored if label == "scan"]
+    buckets = 1 << (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    kinds = 2 * (1 + 3 + 3)  # words, and pairs and triples begun in each scan of the cycle, often held or not
+    assert len(scans) >= 3 and all(df.count() <= kinds * buckets for df in scans)
+    assert len({w for text, *_ in docs for w in text.split()}) > 3 * kinds * buckets
+
+
+def test_counts_of_one_hash_add_up_across_tasks(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(co, "_AT_ONCE", 50)
+    texts = ["a b a. c a b " * k for k in range(1, 40)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"] * len(texts)), pa.array([t.encode() + b"\xff" for t in texts], pa.binary())], names=["lang", "text"]
+    )
+    rows = [x for k in range(0, len(texts), 7) for x in co._counted({}, range(0), True, 2)([batch.slice(k, 7)])]
+    merged = [co._merged(5)(part) for b in range(4) if (part := (t := pa.Table.from_batches(rows)).filter(pa.compute.equal(t["bucket"], b))).num_rows]
+    n = sorted(x for part in merged for blob in part["n"].to_pylist() for x in np.frombuffer(blob, np.int64).tolist())
+    assert len(rows) > 1 and n == sorted(Counter(w for t in texts for w in t.replace(".", "").split()).values())

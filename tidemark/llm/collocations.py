@@ -6,8 +6,9 @@ wherever in the cycle that is, the phrase is counted from the next scan on, unti
 scanned once with it: one full cycle. Words, pairs and triples are so counted in the same scans, and
 scanning ends when no phrase is left within its cycle.
 
-The scans count 64-bit hashes of phrases: numpy counts those of a block, Spark adds them up as whole
-numbers. Bloom filters of a fixed size, one for each scan that found new frequent phrases, hold all
+The scans count 64-bit hashes of phrases. Numpy counts those of some blocks and cuts them by their
+first bits into buckets, packed as one row each; Spark brings the rows of a bucket together, where
+numpy adds the counts up. There are four buckets or more to each shuffle partition. Bloom filters of a fixed size, one for each scan that found new frequent phrases, hold all
 phrases that were frequent by then and tell a task when a longer phrase begins: in the scan after the
 first filters that hold its subphrases. A filter holds whatever an earlier one does, by mistake too,
 so a phrase begins in the same scan whichever filters a task still has: phrases of equal hashes, or
@@ -41,6 +42,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _NEVER = 1 << 30
 _SPELLED = ["lang", "size", "phrase", "h", "n"]
+_AT_ONCE = 1 << 21  # hashes that a task holds before it counts them
 _LANES = 64  # the best phrases of a language are first found in so many parts of it
 
 
@@ -116,32 +118,95 @@ def _seed(lang: str) -> np.uint64:
     return span_hashes(eights, np.zeros(1, np.int64), np.array([len(raw) - 8]))[0]
 
 
-def _tally(size: int, start: int, h: np.ndarray) -> pa.RecordBatch:
+def _packed(bits: int, size: int, start: int, h: np.ndarray) -> pa.RecordBatch:
+    """Counts of hashes: a row for each bucket of the first ``bits`` bits, its hashes in order."""
     h, n = np.unique(h, return_counts=True)
-    columns = [np.full(len(h), size, np.int32), np.full(len(h), start, np.int32), h.view(np.int64), n.astype(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["size", "start", "h", "n"])
+    edge = np.searchsorted(h, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    bucket = np.flatnonzero(np.diff(edge, append=len(h)))
+    bounds = pa.py_buffer((8 * np.append(edge[bucket], len(h))).astype(np.int32))
+    blobs = [pa.Array.from_buffers(pa.binary(), len(bucket), [None, bounds, pa.py_buffer(x)]) for x in (h, n.astype(np.int64))]
+    columns = [bucket.astype(np.int32), np.full(len(bucket), size, np.int32), np.full(len(bucket), start, np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns] + blobs, names=["bucket", "size", "start", "h", "n"])
 
 
-def _counted(filters: dict[int, dict[int, _Filter]], begun: range, words: bool):
-    """Count the words of each block, and the phrases, begun in these scans, of the sizes that have filters."""
+def _counted(filters: dict[int, dict[int, _Filter]], begun: range, words: bool, bits: int):
+    """Count the words of the texts, and the phrases, begun in these scans, of the sizes that have filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", 4 << 20):
+        held: dict[tuple[int, int], list[np.ndarray]] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (size, start), hashes in held.items():
+                yield _packed(bits, size, start, np.concatenate(hashes))
+            held.clear()
+
+        for block in blocks(batches, "text"):
             found = _Words(block.column("lang"), block.column("text"))
             if words:
-                yield _tally(1, 0, found.hash)
+                held.setdefault((1, 0), []).append(found.hash)
             if 2 in filters:
                 since, at = _since(filters[2], found.hash), found.within(2)
                 start = np.maximum(since[at], since[at + 1]) + 1
                 for scan in begun:
-                    yield _tally(2, scan, found.pairs(at[start == scan]))
+                    held.setdefault((2, scan), []).append(found.pairs(at[start == scan]))
             if 3 in filters:
                 since, at = np.full(found.n + 1, _NEVER, np.int64), found.within(2)
                 since[at] = _since(filters[3], found.pairs(at))
                 at = found.within(3)
                 start = np.maximum(since[at], since[at + 1]) + 1
                 for scan in begun:
-                    yield _tally(3, scan, found.triples(at[start == scan]))
+                    held.setdefault((3, scan), []).append(found.triples(at[start == scan]))
+            if sum(len(h) for hashes in held.values() for h in hashes) >= _AT_ONCE:
+                yield from flush()
+        yield from flush()
+
+    return run
+
+
+def _groups(rows: pa.Table, *keys: str) -> Iterator[tuple[tuple[int, ...], pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each value of the keys: it, its rows, their hashes in order, the counts and the row of each, and where new hashes begin."""
+    values = np.stack([rows.column(k).to_numpy() for k in keys])
+    for value in np.unique(values, axis=1).T:
+        part = rows.filter(pa.array((values == value[:, None]).all(axis=0)))
+        h, n = (np.concatenate([content(c)[0] for c in part.column(k).chunks]) for k in ("h", "n"))
+        h, n = h.view(np.uint64), n.view(np.int64)
+        row = np.repeat(np.arange(part.num_rows), pc.binary_length(part.column("h")).to_numpy() // 8)
+        order = np.argsort(h)
+        h = h[order]
+        yield tuple(value.tolist()), part, h, n[order], row[order], np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+
+
+def _merged(full: int):
+    """Add up the counts of a bucket. Hashes that the scan holds ``full`` times are in a row of their own."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        out = []
+        for (bucket, size, start), _, h, n, _, first in _groups(rows, "bucket", "size", "start"):
+            h, n = h[first], np.add.reduceat(n, first)
+            for often in (True, False):
+                which = (n >= full) == often
+                if which.any():
+                    out.append((bucket, size, start, often, h[which].tobytes(), n[which].tobytes()))
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+        return pa.table([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=["bucket", "size", "start", "often", "h", "n"])
+
+    return run
+
+
+def _frequent(least: int, full: int, last: int):
+    """Hashes of a bucket that are held ``least`` times by the scans, with the scan whose well-filled ones, or the last, made them so."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for _, part, h, n, row, first in _groups(rows, "start"):
+            scan, filled = part.column("scan").to_numpy()[row], np.where(n >= full, n, 0)
+            since = np.full(len(first), last)
+            for k in sorted(set(part.column("scan").to_pylist()), reverse=True):
+                since[np.add.reduceat(np.where(scan <= k, filled, 0), first) >= least] = k
+            enough = np.add.reduceat(n, first) >= least
+            out.append((h[first][enough], since[enough]))
+        h, since = map(np.concatenate, zip(*out))
+        return pa.table([pa.array(h.view(np.int64)), pa.array(since.astype(np.int32))], names=["h", "since"])
 
     return run
 
@@ -204,7 +269,7 @@ def _spelled(held: dict[int, _Filter]):
     """Count the phrases that the filter of their size holds, spelled out, and all words of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", 4 << 20):
+        for block in blocks(batches, "text", 2 << 20):
             found = _Spelled(block.column("lang"), block.column("text"), held[1])
             yield found.totals()
             yield found.ones()
@@ -245,16 +310,15 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     full = -(-least // shards)  # a frequent phrase has a scan with so many; sums of such scans alone are never too high
 
     scans: dict[int, dict[int, DataFrame]] = {1: {}, 2: {}, 3: {}}
+    bits = (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     ended: list[DataFrame] = []
     reached: dict[int, dict[int, _Filter]] = {1: {}, 2: {}}  # by scan that found some, the phrases frequent by its end
 
-    def sums(size: int, scan: int, which: Column) -> DataFrame:
-        """Hashes that are frequent by now, with the scan of the cycle in which their well-filled scans, or its end, made them so."""
-        cycle = [(k, df.where(which)) for k, df in scans[size].items() if scan - shards < k <= scan]
-        rows = reduce(DataFrame.unionByName, [df.withColumn("scan", F.lit(k)) for k, df in cycle])
-        filled = [F.sum(F.when((F.col("scan") <= k) & (F.col("n") >= full), F.col("n")).otherwise(0)) for k, _ in cycle]
-        since = F.coalesce(*[F.when(x >= least, k) for x, (k, _) in zip(filled, cycle)], F.lit(scan))
-        found = rows.groupBy("start", "h").agg(F.sum("n").alias("n"), since.alias("since")).where(F.col("n") >= least)
+    def sums(size: int, cycle: dict[int, DataFrame], which: Column, filled: int, last: int) -> DataFrame:
+        """Hashes that are frequent by these scans, with the scan in which those of ``filled`` counts, or the last, made them so."""
+        columns = ["bucket", "start", "h", "n"]
+        rows = reduce(DataFrame.unionByName, [df.where(which).select(*columns, F.lit(k).alias("scan")) for k, df in cycle.items()])
+        found = rows.groupBy("bucket").applyInArrow(_frequent(least, filled, last), "h long, since int")
         return found.select(F.lit(size).alias("size"), "h", "since")
 
     for scan in count():
@@ -268,29 +332,27 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
         if scan >= shards and not filters:
             break
         shard = corpus.where(F.col("shard") == scan % shards).select("lang", "text")
-        counts = shard.mapInArrow(_counted(filters, begun, scan < shards), "size int, start int, h long, n long")
-        counts = stage(counts.groupBy("size", "start", "h").agg(F.sum("n").alias("n")), "scan")
+        counts = shard.mapInArrow(_counted(filters, begun, scan < shards, bits), "bucket int, size int, start int, h binary, n binary")
+        merged = counts.groupBy("bucket").applyInArrow(_merged(full), "bucket int, size int, start int, often boolean, h binary, n binary")
+        counts = stage(merged, "scan")
         for size in ([1] if scan < shards else []) + list(filters):
             scans[size][scan] = counts.where(F.col("size") == size).drop("size")
         for size in (1, 2):
             if scan not in scans[size]:
                 continue
             first = scan - shards + 1
-            new = [sums(size, scan, (F.col("start") > first) & (F.col("n") >= full))]
+            cycle = {k: df for k, df in scans[size].items() if k >= first}
+            new = [sums(size, cycle, (F.col("start") > first) & F.col("often"), full, scan)]
             if first >= 0:
-                ended.append(stage(sums(size, scan, F.col("start") == first), "ended"))
+                ended.append(stage(sums(size, cycle, F.col("start") == first, full, scan), "ended"))
                 new.append(ended[-1])
             fresh = _filter(reduce(DataFrame.unionByName, new).where(F.col("since") == scan))
             if fresh.table.any():
                 reached[size][scan] = _Filter.union([*list(reached[size].values())[-1:], fresh])
     held = {size: _Filter.union(list(reached[size].values())[-1:]) for size in (1, 2)} | {3: _Filter.union([])}
     # Nothing waits for triples: one sum when all cycles have ended.
-    triples = [df.withColumn("scan", F.lit(k)) for k, df in scans[3].items()]
-    if triples:
-        upto = [F.sum(F.when(F.col("scan") <= F.col("start") + k, F.col("n")).otherwise(0)) for k in range(shards)]
-        since = F.coalesce(*[F.when(x >= least, F.col("start") + k) for k, x in enumerate(upto)]).cast("int")
-        sizes = reduce(DataFrame.unionByName, triples).groupBy("start", "h").agg(F.sum("n").alias("n"), since.alias("since"))
-        ended.append(stage(sizes.where(F.col("n") >= least).select(F.lit(3).alias("size"), "h", "since"), "triples"))
+    if scans[3]:
+        ended.append(stage(sums(3, scans[3], F.lit(True), 1, _NEVER), "triples"))
         held[3] = _filter(ended[-1])
     spelled = corpus.select("lang", "text").mapInArrow(_spelled(held), "lang string, size int, phrase string, h long, n long")
     spelled = spelled.groupBy("lang", "size", "phrase").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
