@@ -124,7 +124,7 @@ def test_scans_store_rows_per_bucket_not_per_phrase(spark, monkeypatch):
     docs = [(" ".join(f"w{int(9000 * pick.random() ** 3)}" for _ in range(60)), pick.choice(["en", "de"]), "own", 1) for _ in range(600)]
     assert sorted(map(tuple, co.collocations(spark.createDataFrame(docs, SCHEMA).repartition(4)).collect())) == brute(docs)
     scans = [df for label, df in stored if label == "scan"]
-    buckets = 1 << (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    buckets = 1 << (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     kinds = 2 * (1 + 3 + 3)  # words, and pairs and triples begun in each scan of the cycle, often held or not
     assert len(scans) >= 3 and all(df.count() <= kinds * buckets for df in scans)
     assert len({w for text, *_ in docs for w in text.split()}) > 3 * kinds * buckets

@@ -8,13 +8,14 @@ scanning ends when no phrase is left within its cycle.
 
 The scans count 64-bit hashes of phrases. Numpy counts those of some blocks and cuts them by their
 first bits into buckets, packed as one row each; Spark brings the rows of a bucket together, where
-numpy adds the counts up. There are four buckets or more to each shuffle partition. Bloom filters of a fixed size, one for each scan that found new frequent phrases, hold all
-phrases that were frequent by then and tell a task when a longer phrase begins: in the scan after the
-first filters that hold its subphrases. A filter holds whatever an earlier one does, by mistake too,
-so a phrase begins in the same scan whichever filters a task still has: phrases of equal hashes, or
-held by mistake, only make longer ones begin sooner, and each is counted for its full cycle. A last
-pass spells the phrases whose hash got frequent and counts them as strings, so no count rests on a
-hash; rare phrases, which are most, never travel as strings.
+numpy adds the counts up. There are two buckets or more to each shuffle partition. Bloom filters of a
+fixed size, one for each scan that found new frequent phrases, hold all phrases that were frequent by
+then and tell a task when a longer phrase begins: in the scan after the first filters that hold its
+subphrases. A filter holds whatever an earlier one does, by mistake too, so a phrase begins in the
+same scan whichever filters a task still has: phrases of equal hashes, or held by mistake, only make
+longer ones begin sooner, and each is counted for its full cycle. A last pass spells the phrases
+whose hash got frequent and counts them as strings, so no count rests on a hash; rare phrases, which
+are most, never travel as strings.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ _KIND[[*b".,;:!?\x0a\x0b\x0c\x0d", END]] = _CUT
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _NEVER = 1 << 30
-_SPELLED = ["lang", "size", "phrase", "h", "n"]
+_SPELLED = ["lang", "size", "phrase", "n"]
 _AT_ONCE = 1 << 21  # hashes that a task holds before it counts them
 _LANES = 64  # the best phrases of a language are first found in so many parts of it
 
@@ -222,26 +223,25 @@ class _Spelled(_Words):
         spelled = spelled.take(pa.array(held)).dictionary_encode()
         several = max(1, len(spelled.dictionary))
         keys = self.lang[held] * several + spelled.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        keys, first, code = np.unique(keys, return_index=True, return_inverse=True)
+        keys, code = np.unique(keys, return_inverse=True)
         self.code = np.full(self.n, -1, np.int64)
         self.code[held] = code
-        self.code_lang, self.code_hash = keys // several, self.hash[held[first]]
+        self.code_lang = keys // several
         self.word = spelled.dictionary.take(pa.array(keys % several))
 
     def _rows(self, codes: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
         phrase = self.word.take(pa.array(codes[0]))
         if len(codes) > 1:
             phrase = pc.binary_join_element_wise(phrase, *[self.word.take(pa.array(c)) for c in codes[1:]], pa.scalar(b" ", pa.large_binary()))
-        h = reduce(_joined, [self.code_hash[c] for c in codes])
         lang = self.langs.take(pa.array(self.code_lang[codes[0]]))
         size = pa.array(np.full(len(n), len(codes), np.int32))
-        return pa.RecordBatch.from_arrays([lang, size, phrase.cast(pa.binary()).cast(pa.string()), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=_SPELLED)
+        return pa.RecordBatch.from_arrays([lang, size, phrase.cast(pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64))], names=_SPELLED)
 
     def totals(self) -> pa.RecordBatch:
         """The number of all words per language, as phrases of no words."""
         size, zero = len(self.langs), np.zeros(len(self.langs), np.int64)
         n = np.bincount(self.lang, minlength=size).astype(np.int64)
-        return pa.RecordBatch.from_arrays([self.langs, pa.array(zero.astype(np.int32)), pa.array([""] * size, pa.string()), pa.array(zero), pa.array(n)], names=_SPELLED)
+        return pa.RecordBatch.from_arrays([self.langs, pa.array(zero.astype(np.int32)), pa.array([""] * size, pa.string()), pa.array(n)], names=_SPELLED)
 
     def ones(self) -> pa.RecordBatch:
         size = len(self.word)
@@ -279,6 +279,20 @@ def _spelled(held: dict[int, _Filter]):
     return run
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spelled phrases with the hash that the scans gave them; those of no words have 0."""
+    for block in blocks(batches, "text"):
+        words = _Words(block.column("lang"), block.column("text")).hash
+        size = block.column("size").to_numpy()
+        first, h = np.cumsum(size) - size, np.zeros(len(size), np.uint64)
+        for k in range(int(size.max())):
+            longer = size > k
+            last = words[first[longer] + k]
+            h[longer] = _joined(h[longer], last) if k else last
+        columns = [block.column(k) for k in ("lang", "size", "phrase")] + [pa.array(h.view(np.int64)), block.column("n")]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "h", "n"])
+
+
 def _filter(hashes: DataFrame) -> _Filter:
     """A filter of the column ``h``; its bits are put together by Spark, and reach the driver in its fixed size."""
     low = (1 << _BITS) - 1
@@ -310,7 +324,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     full = -(-least // shards)  # a frequent phrase has a scan with so many; sums of such scans alone are never too high
 
     scans: dict[int, dict[int, DataFrame]] = {1: {}, 2: {}, 3: {}}
-    bits = (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    bits = (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     ended: list[DataFrame] = []
     reached: dict[int, dict[int, _Filter]] = {1: {}, 2: {}}  # by scan that found some, the phrases frequent by its end
 
@@ -354,9 +368,11 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     if scans[3]:
         ended.append(stage(sums(3, scans[3], F.lit(True), 1, _NEVER), "triples"))
         held[3] = _filter(ended[-1])
-    spelled = corpus.select("lang", "text").mapInArrow(_spelled(held), "lang string, size int, phrase string, h long, n long")
-    spelled = spelled.groupBy("lang", "size", "phrase").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
-    spelled = stage(spelled.where((F.col("n") >= least) | (F.col("size") == 0)), "spelled")
+    spelled = corpus.select("lang", "text").mapInArrow(_spelled(held), "lang string, size int, phrase string, n long")
+    spelled = spelled.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("size") == 0))
+    # Hashes do not compress: those of the few phrases that are left are taken anew.
+    spelled = spelled.withColumn("text", closed(F.col("phrase"), lower=False))
+    spelled = stage(spelled.mapInArrow(_hashed, "lang string, size int, phrase string, h long, n long"), "spelled")
     begins = reduce(DataFrame.unionByName, ended).groupBy("size", "h").agg(F.min("since").alias("since"))
     found = stage(spelled.join(begins, ["size", "h"]).select("size", "lang", "phrase", "n", "since"), "frequent")
     words = spelled.where(F.col("size") == 0).select("lang", "n").where(F.col("n") > 0)
