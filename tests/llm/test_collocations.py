@@ -142,3 +142,12 @@ def test_counts_of_one_hash_add_up_across_tasks(monkeypatch):
     merged = [co._merged(5)(part) for b in range(4) if (part := (t := pa.Table.from_batches(rows)).filter(pa.compute.equal(t["bucket"], b))).num_rows]
     n = sorted(x for part in merged for blob in part["n"].to_pylist() for x in np.frombuffer(blob, np.int64).tolist())
     assert len(rows) > 1 and n == sorted(Counter(w for t in texts for w in t.replace(".", "").split()).values())
+
+
+def test_filters_travel_packed():
+    import pickle
+
+    table = np.zeros(1 << (co._BITS - 6), np.uint64)
+    table[5::999] = 3
+    packed = pickle.dumps(co._Filter(table))
+    assert len(packed) < table.nbytes / 20 and (pickle.loads(packed).table == table).all()

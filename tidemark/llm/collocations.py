@@ -20,6 +20,7 @@ are most, never travel as strings.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 from itertools import count
@@ -53,6 +54,12 @@ class _Filter:
     def __init__(self, table: np.ndarray):
         self.table = table
 
+    def __getstate__(self) -> bytes:
+        return zlib.compress(self.table.tobytes(), 1)  # every scan's tasks get the filters, which are sparse on small tables
+
+    def __setstate__(self, packed: bytes) -> None:
+        self.table = np.frombuffer(zlib.decompress(packed), np.uint64)
+
     @staticmethod
     def slots(h: np.ndarray, size: int = 0) -> np.ndarray:
         low = np.uint64((size or 1 << _BITS) - 1)
