@@ -2,10 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidemark.llm import nearcopies
 from tidemark.llm.queries import op5_minhash_dedup, table
@@ -108,3 +111,43 @@ def test_a_repeated_key_with_unlike_texts_keeps_all_links(spark):
     assert similarity(bag(docs[0][1]), bag(docs[2][1])) >= 0.8 <= similarity(bag(docs[1][1]), bag(docs[3][1]))
     out = nearcopies.near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.class_id) for r in out) == [(5, 5), (5, 5), (6, 5), (7, 5), (8, 8)]
+
+
+def test_a_crowded_tile_holds_few_pairs_at_a_time():
+    rng = np.random.default_rng(4)
+    prints = np.tile(rng.integers(0, 1 << 14, 128).astype(np.uint16), (1500, 1))
+    prints[:, 0] = rng.integers(0, 1 << 14, 1500)
+    prints[700:] ^= 1  # two groups, of 1.4 million pairs
+    tile = pd.DataFrame({"id": rng.permutation(1500), "prints": list(prints.view(np.int64))})
+    tracemalloc.start()
+    out = nearcopies._loosely_linked(100)(tile)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ids = tile["id"].to_numpy()
+    assert sorted(zip(out["a"], out["b"])) == sorted([*((ids[0], x) for x in ids[1:700]), *((ids[700], x) for x in ids[701:])])
+    assert peak < 30e6
+
+
+def test_shared_shingles_count_by_the_smaller_multiplicity():
+    rng = np.random.default_rng(5)
+    bags = [Counter(rng.integers(0, 40, rng.integers(0, 300)).tolist()) for _ in range(30)] + [Counter({1: 20_000_000}), Counter({1: 17_000_001, 2: 1})]
+    row, h, count = (np.array(x) for x in zip(*[(i, k, n) for i, b in enumerate(bags) for k, n in b.items()]))
+    want = [[sum((a & b).values()) for b in bags] for a in bags]
+    for columns in (1, 7, 1024):
+        got = nearcopies._shared(row, h.astype(np.uint64), count, len(bags), columns)
+        assert all(got[i, j] == want[i][j] for i in range(32) for j in range(32) if i != j)
+
+
+def test_long_texts_are_compared_in_tiles_of_bounded_size(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    docs, base = [], [word() for _ in range(400)]
+    for k in range(40):  # neighbours are near copies, others less and less
+        docs.append((k, " ".join([*base[: 400 - 6 * k], *[word() for _ in range(6 * k)]])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(nearcopies, "BLOCK_BYTES", 20_000)
+    texts = df.select(F.lit(1).alias("loose"), F.col("doc_id").alias("id"), "text")
+    tiles = nearcopies._tiles(texts, ["loose"], 300, F.octet_length("text"), nearcopies.BLOCK_BYTES).groupBy("i", "j")
+    held = [r.held for r in tiles.agg(F.sum(F.octet_length("text")).alias("held")).collect()]
+    assert max(held) < 80_000 < sum(len(t) for _, t in docs)
+    assert {r.doc_id: r.class_id for r in nearcopies.near_copies(df).collect()} == brute(docs)

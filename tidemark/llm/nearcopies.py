@@ -25,6 +25,7 @@ from tidemark.session import stage
 REGISTERS, BAND = 128, 4
 BANDS = REGISTERS // BAND
 WIDTH = 5
+BLOCK_BYTES = 2 << 20  # of text in a block of a tile, about; what is compared in a task does not grow with the texts
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _NEXT = np.uint64(0xD1342543DE82EF95)
 
@@ -134,13 +135,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return both.mapInArrow(_overlaps, "a long, b long, similarity double").where(F.col("similarity") >= threshold).select("a", "b")
 
 
-def _tiles(df: DataFrame, keys: list[str], block: int) -> DataFrame:
+def _tiles(df: DataFrame, keys: list[str], block: int, size: Column | None = None, most: int = 0) -> DataFrame:
     """Rows with the tiles (i, j), i <= j, that compare their block of a group with every block of it.
 
-    A group of up to ``block`` rows is one tile; a larger one is as many tasks as it
-    has pairs of blocks, none of more than two blocks.
+    A group of up to ``block`` rows, with ``size`` adding up to ``most``, is one tile; a larger one
+    is as many tasks as it has pairs of blocks, none of more than about two blocks.
     """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n"))
+    n = F.ceil(F.count(F.lit(1)) / block)
+    n = n if size is None else F.greatest(n, F.ceil(F.sum(size) / most))
+    sizes = df.groupBy(*keys).agg(n.cast("int").alias("n"))
     rows = df.join(sizes, keys).withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("n")).cast("int"))
     after = F.transform(F.sequence("block", F.col("n") - 1), lambda j: F.struct(F.col("block").alias("i"), j.alias("j")))
     earlier = F.filter(F.sequence(F.lit(0), F.col("block")), lambda i: i < F.col("block"))
@@ -148,9 +151,9 @@ def _tiles(df: DataFrame, keys: list[str], block: int) -> DataFrame:
     return rows.select("*", F.inline(F.concat(after, before))).drop("n")
 
 
-def _forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
-    """Edges (a, b) that connect the rows just as the pairs (i, j) do, one per row at most."""
-    root = np.arange(len(ids))
+def _joined(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest row that each is connected with, by the pairs (i, j) and by what ``root`` says already."""
+    i, j = np.concatenate([i, np.arange(len(root))]), np.concatenate([j, root])
     while True:
         low = np.minimum(root[i], root[j])
         new = root.copy()
@@ -158,51 +161,78 @@ def _forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
         np.minimum.at(new, j, low)
         new = new[new]
         if (new == root).all():
-            break
+            return root
         root = new
+
+
+def _forest(ids: np.ndarray, root: np.ndarray) -> pd.DataFrame:
+    """Edges (a, b) that connect the rows as their roots do, one per row at most."""
     child = np.flatnonzero(root != np.arange(len(ids)))
     return pd.DataFrame({"a": ids[root[child]].astype(np.int64), "b": ids[child].astype(np.int64)})
 
 
 def _loosely_linked(least: float):
     def run(tile: pd.DataFrame) -> pd.DataFrame:
-        """Connections by estimate within a tile of one bucket."""
+        """Connections by estimate within a tile of one bucket; pairs are held for 64 rows at a time."""
         prints = np.array(tile["prints"].tolist(), np.int64).view(np.uint16)
-        found = []
+        root = np.arange(len(prints))
         for at in range(0, len(prints), 64):
-            agree = (prints[at : at + 64, None] == prints[None]).sum(2)
-            found.append(np.stack(np.nonzero(agree >= least)) + np.array([[at], [0]]))
-        i, j = np.concatenate(found, 1)
-        return _forest(tile["id"].to_numpy(), i, j)
+            agree = (prints[at : at + 64, None] == prints[None, at:]).sum(2)
+            i, j = np.nonzero(agree >= least)
+            root = _joined(root, i + at, j + at)
+        return _forest(tile["id"].to_numpy(), root)
 
     return run
 
 
+def _shared(row: np.ndarray, h: np.ndarray, count: np.ndarray, n: int, columns: int = 1024) -> np.ndarray:
+    """(n, n) numbers of shingles that two texts share, each counted by its smaller multiplicity.
+
+    A column stands for a shingle and a multiplicity of it: texts that have it so often have a one there,
+    which weighs as much as the multiplicity exceeds the one before. Products of the rows then add up the
+    smaller multiplicities, of about ``columns`` columns at a time.
+    """
+    order = np.lexsort((count, h))
+    row, h, count = row[order], h[order], count[order]
+    first = np.flatnonzero(np.diff(h, prepend=~h[:1]))
+    several = np.repeat(np.diff(np.append(first, len(h))) > 1, np.diff(np.append(first, len(h))))
+    row, h, count = row[several], h[several], count[several]
+    new = np.diff(h, prepend=~h[:1]) != 0
+    level = new | (np.diff(count, prepend=0) != 0)
+    column = np.cumsum(level) - 1
+    start = np.flatnonzero(new)
+    lowest = np.append(column[start], column[-1:] + 1)  # the first column of each shingle
+    weight = count[level] - np.where(new, 0, np.concatenate([count[:1], count[:-1]]))[level]
+    shared, at = np.zeros((n, n)), 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(lowest, lowest[at] + columns, "right")) - 1)
+        a, b = start[at], start[to] if to < len(start) else len(h)
+        base = lowest[at:to][np.cumsum(new[a:b]) - 1]
+        times = column[a:b] - base + 1
+        place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(base, times) - lowest[at]
+        weights = weight[lowest[at] : lowest[to]]
+        part = np.zeros((n, len(weights)), np.float32 if weights.sum() < 1 << 24 else np.float64)  # exact either way
+        part[np.repeat(row[a:b], times), place] = 1
+        shared += (part * weights.astype(part.dtype)) @ part.T
+        at = to
+    return shared
+
+
 def _exactly_linked(threshold: float):
     def run(tile: pd.DataFrame) -> pd.DataFrame:
-        """Connections by exact similarity within a tile of one loose group.
-
-        Each copy of a shingle is a column, so a product of the rows counts the smaller multiplicities.
-        """
-        row, h, count = multisets(pa.array(tile["text"].tolist(), pa.binary()))
-        n = len(tile)
+        """Connections by exact similarity within a tile of one loose group."""
+        texts = pa.RecordBatch.from_arrays([pa.array(tile["text"], pa.binary())], names=["text"])
+        parts, n = [], 0
+        for block in blocks([texts], "text"):
+            row, h, count = multisets(block.column("text"))
+            parts.append(((row + n).astype(np.int32), h, count.astype(np.int32)))
+            n += block.num_rows
+        row, h, count = map(np.concatenate, zip(*parts))
         size = np.bincount(row, count, n)
-        copy = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        row, h = np.repeat(row, count), mixed(np.repeat(h, count) + copy.astype(np.uint64) * _ODD)
-        _, column, seen = np.unique(h, return_inverse=True, return_counts=True)
-        row, column = row[seen[column] > 1], column[seen[column] > 1]
-        used, column = np.unique(column, return_inverse=True)
-        shared = np.zeros((n, n))
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        for at in range(0, len(used), 4096):
-            low, high = np.searchsorted(column, [at, at + 4096])
-            part = np.zeros((n, 4096), np.float32)
-            part[row[low:high], column[low:high] - at] = 1
-            shared += part @ part.T
+        shared = _shared(row, h, count, n)
         total = size[:, None] + size[None] - shared
         i, j = np.nonzero((shared >= threshold * total - 1e-9) & (shared > 0))
-        return _forest(tile["id"].to_numpy(), i, j)
+        return _forest(tile["id"].to_numpy(), _joined(np.arange(n), i, j))
 
     return run
 
@@ -279,7 +309,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     loose = stage(loose.select(F.col("node").alias("id"), F.col("component").alias("loose")).join(component("id"), "id", "left"), "bag-loose")
     several = loose.groupBy("loose").agg(F.min(F.coalesce("of_id", "id")).alias("lo"), F.max(F.coalesce("of_id", "id")).alias("hi"))
     open_groups = loose.join(several.where("lo < hi").select("loose"), "loose", "left_semi").select("loose", "id").join(texts, "id")
-    exact = _tiles(open_groups, ["loose"], 300).groupBy("loose", "i", "j").applyInPandas(_exactly_linked(threshold), "a long, b long")
+    tiles = _tiles(open_groups, ["loose"], 300, F.octet_length("text"), BLOCK_BYTES).groupBy("loose", "i", "j")
+    exact = tiles.applyInPandas(_exactly_linked(threshold), "a long, b long")
     links = links.unionByName(stage(exact, "bag-links"))
 
     of = components(links)
