@@ -58,3 +58,19 @@ def test_lookup():
     close = np.arange(1, 40, dtype=np.uint64)
     assert Lookup(close, close)(close).tolist() == close.tolist()
     assert Lookup(keys[:0], np.zeros(0))(keys[:3]).tolist() == [0, 0, 0]
+
+
+def test_blocks_give_back_unused_memory_at_their_end(monkeypatch):
+    class Pool:
+        released = 0
+
+        def release_unused(self):
+            self.released += 1
+
+    pool = Pool()
+    batch = pa.RecordBatch.from_arrays([column(TEXTS)], names=["text"])
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+    cut = blocks(iter([batch, batch]), "text", 8)
+    assert next(cut).num_rows and not pool.released
+    assert sum(b.num_rows for b in cut) < 2 * len(TEXTS) and pool.released == 1
+    assert list(blocks(iter([]), "text")) == [] and pool.released == 2

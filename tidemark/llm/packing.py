@@ -374,6 +374,8 @@ def pack(
                     held += len(t)
         if keys:
             yield flush()
+        batch = part = None
+        pa.default_memory_pool().release_unused()  # else the idle worker keeps it
 
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

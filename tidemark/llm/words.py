@@ -24,7 +24,10 @@ def closed(text: Column, lower: bool = True) -> Column:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about ``size`` bytes of ``column``, or one longer row."""
+    """The batches in slices of about ``size`` bytes of ``column``, or one longer row.
+
+    After the last one Arrow gives back what it holds for reuse: the worker waits for its next task without it.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -34,6 +37,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20)
             to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + size, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    batch = None
+    pa.default_memory_pool().release_unused()
 
 
 def content(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
